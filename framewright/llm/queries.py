@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import OP3_SQL, exact_dedup
+from .line_dedup import dedup_lines
+from .ngram_join import ngram_components
 from .url_filter import OP7_SQL, filter_urls, page_outcomes
 
 
@@ -15,12 +17,21 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "text", "removed_chunks", "removed_lines", "copies_of")
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), page_outcomes(table(spark, sf_dir, "labels")))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op7_url_reputation)
+    f.__name__: f for f in (op3_exact_dedup, op5_line_dedup, op7_url_reputation, op10_ngram_jaccard)
 }
 
 SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_reputation": OP7_SQL}
