@@ -5,14 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import find_leaks
 from .exact_dedup import OP3_SQL, exact_dedup
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_components
+from .quality import filter_quality
 from .url_filter import OP7_SQL, filter_urls, page_outcomes
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that stay, with their probabilities of being bad."""
+    kept = filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return kept.select("doc_id", "p_document", "p_site", "p_bad", F.lit(True).alias("kept"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
@@ -26,12 +35,18 @@ def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), page_outcomes(table(spark, sf_dir, "labels")))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op5_line_dedup, op7_url_reputation, op10_ngram_jaccard)
+    f.__name__: f for f in (
+        op1_quality_classifier, op3_exact_dedup, op5_line_dedup, op7_url_reputation, op8_decontamination, op10_ngram_jaccard,
+    )
 }
 
 SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_reputation": OP7_SQL}

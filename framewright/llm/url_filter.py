@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower
+from .empirical_bayes import STRENGTH, shrink
 
 #: The stated rules, (verdict, host suffix, path prefix).
 RULES = (
@@ -18,8 +19,6 @@ RULES = (
 
 #: A host is blocked when its bad rate exceeds MAX_BAD with the one-sided confidence of Z.
 MAX_BAD, Z = 0.3, 1.645
-#: Prior strengths, in pages, stay between these when the moments give no usable value.
-STRENGTH = (2.0, 1000.0)
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -30,27 +29,6 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
-def _shrunk(level: DataFrame, parent: DataFrame, key: str, up: str) -> DataFrame:
-    """Posterior Beta(a, b) of each `key`, with the mean of its `up` as prior mean.
-
-    The prior's strength is one number a level, by moments: with m the parent's mean, the excess of
-    sum n (p - m)^2 over its binomial expectation gives the variance between sites.
-    """
-    seen = level.join(parent.select(up, F.col("mean").alias("m0")), up)
-    v = F.col("m0") * (1 - F.col("m0"))
-    moments = seen.agg(
-        F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("m0"), F.lit(2))).alias("q"),
-        F.sum(v).alias("e0"), F.sum(F.col("n") * v).alias("e1"),
-    )
-    # E[q] = sum v + (sum n v - sum v) / (strength + 1)
-    raw = (F.col("e1") - F.col("e0")) / (F.col("q") - F.col("e0")) - 1
-    k = F.when(F.col("q") > F.col("e0"), F.least(F.greatest(raw, F.lit(STRENGTH[0])), F.lit(STRENGTH[1]))).otherwise(F.lit(STRENGTH[1]))
-    seen = seen.join(F.broadcast(moments.select(k.alias("k"))))  # one row
-    return seen.withColumn("a", F.col("m0") * F.col("k") + F.col("bad")).withColumn(
-        "b", (1 - F.col("m0")) * F.col("k") + F.col("n") - F.col("bad")
-    ).withColumn("mean", F.col("a") / (F.col("a") + F.col("b"))).drop("m0", "k")
-
-
 def host_reputation(outcomes: DataFrame) -> DataFrame:
     """Posterior bad rate of every host in `outcomes` (host, bad 0/1): n, bad, a, b, mean, low.
 
@@ -66,9 +44,9 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     domain = host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffix = domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("all", F.lit(1))
     total = suffix.groupBy("all").agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("mean"))
-    suffix = _shrunk(suffix, total, "suffix", "all").drop("all")
-    domain = _shrunk(domain, suffix, "domain", "suffix")
-    host = _shrunk(host, domain, "host", "domain")
+    suffix = shrink(suffix, total, "all").drop("all")
+    domain = shrink(domain, suffix, "suffix")
+    host = shrink(host, domain, "domain")
     a, b = F.col("a"), F.col("b")
     sd = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     return host.withColumn("low", F.col("mean") - Z * sd)
