@@ -12,6 +12,7 @@ from .decontaminate import find_leaks
 from .exact_dedup import OP3_SQL, exact_dedup
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_components
+from .packing import pack
 from .quality import filter_quality
 from .url_filter import OP7_SQL, filter_urls, page_outcomes
 
@@ -31,6 +32,17 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", "removed_chunks", "removed_lines", "copies_of")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer_file())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), page_outcomes(table(spark, sf_dir, "labels")))
 
@@ -45,7 +57,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op3_exact_dedup, op5_line_dedup, op7_url_reputation, op8_decontamination, op10_ngram_jaccard,
+        op1_quality_classifier, op3_exact_dedup, op5_line_dedup, op6_packing, op7_url_reputation, op8_decontamination, op10_ngram_jaccard,
     )
 }
 
