@@ -94,6 +94,15 @@ class Matcher:
         return out
 
 
+def _holds_none(matcher):
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        find = matcher()
+        return pa.array([not find.find(t.as_py()) for t in texts], pa.bool_())
+
+    return clean
+
+
 def blocks_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[list[tuple]]:
     """The benchmark, a stated set of queries, in blocks of bounded expected size."""
     rows = benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").distinct()
@@ -158,10 +167,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     for items in blocks_of(benchmark, item, item_text):
         matcher = _shared(docs.sparkSession, items)
 
-        @F.arrow_udf("boolean")
-        def clean(texts: pa.Array, matcher=matcher) -> pa.Array:
-            find = matcher()
-            return pa.array([not find.find(t.as_py()) for t in texts], pa.bool_())
-
-        docs = docs.where(clean(F.col(text)))
+        docs = docs.where(_holds_none(matcher)(F.col(text)))
     return docs

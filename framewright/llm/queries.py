@@ -15,6 +15,7 @@ from .ngram_join import ngram_components
 from .packing import pack
 from .quality import filter_quality
 from .url_filter import OP7_SQL, filter_urls, page_outcomes
+from .warc import OP4_SQL, archive_round_trip
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive_round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "text", "removed_chunks", "removed_lines", "copies_of")
@@ -57,8 +63,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op3_exact_dedup, op5_line_dedup, op6_packing, op7_url_reputation, op8_decontamination, op10_ngram_jaccard,
+        op1_quality_classifier, op3_exact_dedup, op4_warc, op5_line_dedup, op6_packing, op7_url_reputation, op8_decontamination, op10_ngram_jaccard,
     )
 }
 
-SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_reputation": OP7_SQL}
+SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op4_warc": OP4_SQL, "op7_url_reputation": OP7_SQL}
