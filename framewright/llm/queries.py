@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontaminate import find_leaks
 from .exact_dedup import OP3_SQL, exact_dedup
+from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .ngram_join import ngram_components
 from .packing import pack
 from .quality import filter_quality
+from .sharding import shard_table
 from .url_filter import OP7_SQL, filter_urls, page_outcomes
 from .warc import OP4_SQL, archive_round_trip
 
@@ -24,6 +26,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "p_document", "p_site", "p_bad", F.lit(True).alias("kept"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document lies after all arrivals and compactions, read from the shards themselves."""
+    _, rows = shard_table(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "shard", "shard_rows", "shard_bytes", "manifest_version")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
@@ -57,13 +65,18 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op3_exact_dedup, op4_warc, op5_line_dedup, op6_packing, op7_url_reputation, op8_decontamination, op10_ngram_jaccard,
+        op1_quality_classifier, op2_sharding, op3_exact_dedup, op4_warc, op5_line_dedup, op6_packing, op7_url_reputation, op8_decontamination,
+        op9_license_scan, op10_ngram_jaccard,
     )
 }
 
