@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shingles import _hashes, texts_of, windows
+from .shingles import _hashes, slices, texts_of, windows
 
 #: Licence notices in their usual wording.
 TEMPLATES = (
@@ -136,7 +136,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, text: str = "text", id_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)
-        for batch in batches:
+        for batch in slices(batches):
             texts, rows, first, size = texts_of(batch.column(1)), [], 0, 0
             for end, t in enumerate(texts, 1):
                 size += len(t or b"") // 5

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -9,11 +11,22 @@ import xxhash
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
+#: Words remembered at once, and rows of a batch that are Python objects at once: bounds on a worker's memory.
+WORDS_HELD, ROWS_HELD = 100_000, 250
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, cut into short ones."""
+    for batch in batches:
+        for start in range(0, len(batch), ROWS_HELD):
+            yield batch.slice(start, ROWS_HELD)
+
+
 class _WordHashes(dict):
     """Word to hash, remembered; emptied when it has grown to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) >= WORDS_HELD:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value

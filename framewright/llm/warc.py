@@ -8,7 +8,7 @@ import io
 import re
 import struct
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import materialise, scratch, small
+from .shingles import slices
 
 #: Fixed values of the formats: the magic numbers of the dictionary's skippable frame and of a Zstandard frame.
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -178,14 +179,14 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url: str = "url",
     dictionary = pages.sparkSession.sparkContext.broadcast(train_dictionary(sample))
     to = scratch(pages.sparkSession, "warc")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, records = None, 0
 
         def close() -> pa.RecordBatch:
             name = f"{uuid.uuid4().hex}.warc.zst"
             return pa.RecordBatch.from_pylist([{"path": _store(to, name, writer.out.getvalue()), "records": records, "bytes": len(writer)}])
 
-        for batch in batches:
+        for batch in slices(batches):
             for i, uri, body, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 writer = writer or ArchiveWriter(dictionary.value)
                 kind = "response" if first is None or first == i else "revisit"
@@ -219,7 +220,7 @@ def read_records(archives: DataFrame, id_type, payloads: bool = True) -> DataFra
             raise WarcError(f"not a record of this kind: {urn[:60]!r}")
         return int(found[1]) if found[1] else None
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*rows, strict=True))
             types = [arrow_type, pa.string(), pa.string(), arrow_type, pa.int64(), pa.string(), pa.binary()]
