@@ -3,48 +3,133 @@
 from __future__ import annotations
 
 import heapq
+import json
+import unicodedata
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import materialise, small
+from .shingles import slices
 
 #: Tokens of a sequence, sequences of a window, the id after each document.
 SEQUENCE, WINDOW_SEQUENCES, END_ID = 2048, 64, 1
 #: More sources than this share so many queues by hash.
 MAX_QUEUES = 4_096
+#: Pieces between spaces, and words, that a task remembers.
+PIECES_HELD = 250_000
+
+
+#: The word pattern, and the normalisers, of the tokenizers that `WordTokenizer` has a short way for.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
 
 class WordTokenizer:
-    """Ids of texts, word by word with a bounded memory of words.
+    """Ids of texts, piece by piece between spaces and line feeds, with a bounded memory of pieces.
 
     Valid for tokenizers whose tokens never reach across a space or line feed and that give these no
-    tokens, as word_bpe_49k.json: its normaliser folds white space and its words are split at it.
+    tokens. Where the file has NORMALIZERS, WORD_PATTERN and a byte-level BPE with word ends, as
+    word_bpe_49k.json, new pieces of Latin letters are normalised and split here and only their words,
+    many at a time, go to the bare BPE model; other pieces and other files go through the tokenizer itself.
     """
 
     def __init__(self, path: str):
         self.model = Tokenizer.from_file(path)
-        self.width = "<u2" if self.model.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        size = self.model.get_vocab_size(with_added_tokens=True)
+        self.width = "<u2" if size <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.pattern, self.bytes = self._short_way(json.loads(self.model.to_str()), size)
+
+    def _short_way(self, file: dict, size: int):
+        steps = (file.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        normalizers = [x["type"] for x in (file.get("normalizer") or {}).get("normalizers") or []]
+        model = file["model"]
+        if not (
+            normalizers == NORMALIZERS and len(steps) == 2 and steps[0].get("pattern") == {"Regex": WORD_PATTERN} and steps[0]["invert"]
+            and steps[1]["type"] == "ByteLevel" and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+            and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>" and not model["dropout"] and not model["ignore_merges"]
+        ):
+            return None, None
+        self.bare = Tokenizer(self.model.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for w, i in model["vocab"].items() if w.endswith("</w>")]] = True
+        # a byte that prints in Latin-1 stands for itself, the others for the characters from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        return regex.compile(WORD_PATTERN), {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def _split(self, piece: str) -> list[str] | None:
+        """The words of a piece; None if it has to go through the tokenizer."""
+        if not piece.isprintable() or "<|" in piece or max(piece) >= "\u0300":
+            return None
+        return self.pattern.findall(unicodedata.normalize("NFC", piece).lower())
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words by the bare model, which ends each with a token that has the word-end mark."""
+        width = np.dtype(self.width).itemsize
+        for start in range(0, len(words), 1_000):
+            group = words[start : start + 1_000]
+            mapped = [w if w.isascii() else "".join(map(self.bytes.__getitem__, w.encode())) for w in group]
+            ids = np.array(self.bare.encode_batch_fast([" ".join(mapped)], add_special_tokens=False)[0].ids, self.width)
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
+            if len(ends) != len(group):
+                raise RuntimeError("the tokenizer's words don't end as its file says")
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(group, ends, strict=True):
+                self.words[word] = raw[at:end]
+                at = end
+
+    def _meet(self, pieces: set[str]) -> None:
+        """Put new pieces among the known ones."""
+        known, words = self.known, self.words
+        plain, others, fresh = [], [], set()
+        for piece in pieces:
+            low, mark = piece.lower(), ""
+            if piece[-1] in ".,;:!?":
+                low, mark = low[:-1], piece[-1]
+            latin = low.isascii() or max(low) < "\u0300" and unicodedata.is_normalized("NFC", low)
+            if self.pattern and latin and low.isalpha():  # a word, and perhaps a mark: the common case
+                plain.append((piece, low, mark))
+                fresh.add(low)
+                fresh.add(mark)
+            else:
+                split = self._split(piece) if self.pattern else None
+                others.append((piece, split))
+                fresh.update(split or ())
+        fresh.discard("")
+        self._learn(list(fresh.difference(words)))
+        for piece, word, mark in plain:
+            known[piece] = words[word] + words[mark] if mark else words[word]
+        for piece, split in others:
+            if split is None:
+                known[piece] = np.array(self.model.encode(piece, add_special_tokens=False).ids, self.width).tobytes()
+            else:
+                known[piece] = b"".join(map(words.__getitem__, split))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        for memory in (self.known, self.words):
+            if len(memory) > PIECES_HELD:
+                memory.clear()
+        self.known[""] = b""
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > 300_000:
-            self.known = {"": b""}
-        missing = list({w for words in split for w in words if w not in self.known})
-        for word, found in zip(missing, self.model.encode_batch(missing, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, self.width).tobytes()
-        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        for word in missing:
-            if len(word) > 64:
-                del self.known[word]
+        fresh = set(chain.from_iterable(split)).difference(self.known)
+        self._meet(fresh)
+        out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
+        for piece in fresh:
+            if len(piece) > 200:  # not worth the memory
+                del self.known[piece]
         return out
 
 
@@ -111,19 +196,17 @@ def _tokens(path: str, end_id: int, id_type: pa.DataType):
         tokenizer, block, sums = WordTokenizer(path), TaskContext.get().partitionId(), {}
         width = np.dtype(tokenizer.width).itemsize
         end = np.array([end_id], tokenizer.width).tobytes()
-        for big in batches:
-            for start in range(0, len(big), 1_000):
-                batch = big.slice(start, 1_000)
-                ids = [x + end for x in tokenizer.encode(batch.column(2).to_pylist())]
-                before = []
-                for queue, x in zip(batch.column(1).to_pylist(), ids, strict=True):
-                    before.append(sums.get(queue, 0))
-                    sums[queue] = before[-1] + len(x) // width
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).cast(id_type), batch.column(1), pa.array([block] * len(ids), pa.int32()), pa.array(before, pa.int64()),
-                     pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    ["id", "queue", "block", "before", "n", "ids"],
-                )
+        for batch in slices(batches):
+            ids = [x + end for x in tokenizer.encode(batch.column(2).to_pylist())]
+            before = []
+            for queue, x in zip(batch.column(1).to_pylist(), ids, strict=True):
+                before.append(sums.get(queue, 0))
+                sums[queue] = before[-1] + len(x) // width
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(id_type), batch.column(1), pa.array([block] * len(ids), pa.int32()), pa.array(before, pa.int64()),
+                 pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                ["id", "queue", "block", "before", "n", "ids"],
+            )
 
     return run
 
@@ -133,22 +216,20 @@ def _cut(queues: list[str], schedule: Schedule, sequence: int, id_type: pa.DataT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {q: i for i, q in enumerate(queues)}
-        for big in batches:
-            for first in range(0, len(big), 1_000):
-                batch = big.slice(first, 1_000)
-                rows: list[tuple] = []
-                cols = [batch.column(i).to_pylist() for i in range(1, 5)]
-                for at, (queue, begin, n, data) in enumerate(zip(*cols, strict=True)):
-                    ids = np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype("<u4")
-                    start = 0
-                    while start < n:
-                        position, room = schedule.place(number[queue], begin + start)
-                        length = min(n - start, room, sequence - position % sequence)
-                        rows.append((at, start, length, n, position // sequence, position % sequence, ids[start : start + length].tobytes()))
-                        start += length
-                at, *rest = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at)).cast(id_type), *(pa.array(c, pa.int64()) for c in rest[:5]), pa.array(rest[5], pa.binary())], names)
+        for batch in slices(batches):
+            rows: list[tuple] = []
+            cols = [batch.column(i).to_pylist() for i in range(1, 5)]
+            for at, (queue, begin, n, data) in enumerate(zip(*cols, strict=True)):
+                ids = np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype("<u4")
+                start = 0
+                while start < n:
+                    position, room = schedule.place(number[queue], begin + start)
+                    length = min(n - start, room, sequence - position % sequence)
+                    rows.append((at, start, length, n, position // sequence, position % sequence, ids[start : start + length].tobytes()))
+                    start += length
+            at, *rest = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at)).cast(id_type), *(pa.array(c, pa.int64()) for c in rest[:5]), pa.array(rest[5], pa.binary())], names)
 
     return run
 
