@@ -12,7 +12,7 @@ from .decontaminate import find_leaks
 from .exact_dedup import OP3_SQL, exact_dedup
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
-from .ngram_join import ngram_components
+from .ngram_join import OP10_SQL, ngram_components
 from .packing import pack
 from .quality import filter_quality
 from .sharding import shard_table
@@ -80,4 +80,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op4_warc": OP4_SQL, "op7_url_reputation": OP7_SQL}
+SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op4_warc": OP4_SQL, "op7_url_reputation": OP7_SQL, "op10_ngram_jaccard": OP10_SQL}
