@@ -1,46 +1,19 @@
-"""What the corpus operators share: storage that all executors see, checked broadcasts, fixed-size
-key filters and connected components."""
+"""What the corpus operators share: checked broadcasts, fixed-size key filters and connected components.
 
-from __future__ import annotations
+Column names that begin with ``__fw_`` are reserved for what operators add to a caller's rows on the way.
+"""
 
-import tempfile
-import uuid
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A frame of at most so many narrow rows (keys and a few numbers) may be broadcast.
-BROADCAST_ROWS = 100_000
+from ..storage import materialise, scratch, shared_dir
 
-_local_dirs: dict[str, str] = {}
+__all__ = ["KeyFilter", "ascii_lower", "connected_components", "materialise", "scratch", "shared_dir", "small", "table"]
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
-
-    Only a local session without that setting, as in tests, gets a temporary folder of its own.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        app = spark.sparkContext.applicationId
-        if app not in _local_dirs:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            _local_dirs[app] = tempfile.mkdtemp(prefix="framewright-")
-        found = "file://" + _local_dirs[app]
-    return found.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/framewright/{uuid.uuid4().hex}-{name}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back; cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A frame of at most so many narrow rows (keys and a few numbers) may be broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -71,8 +44,8 @@ class KeyFilter:
     def __init__(self, keys: DataFrame, key: str, log_bits: int = 25):
         self.bits = 1 << log_bits
         slot = self._slot(F.col(key))
-        maps = keys.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_map")
+        maps = keys.groupBy(F.bitmap_bucket_number(slot).alias("__fw_bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("__fw_map")
         )
         self.maps = materialise(maps, "bitmap")
 
@@ -82,12 +55,12 @@ class KeyFilter:
     def flag(self, df: DataFrame, key: Column, name: str) -> DataFrame:
         """`df` with a boolean column: may `key` be among the keys? Null keys are not."""
         slot = self._slot(key)
-        probe = df.withColumn("_bucket", F.bitmap_bucket_number(slot)).withColumn("_bit", F.bitmap_bit_position(slot))
-        bit = F.expr("getbit(cast(conv(hex(substring(_map, cast(_bit div 8 as int) + 1, 1)), 16, 10) as bigint), cast(_bit % 8 as int))")
+        probe = df.withColumn("__fw_bucket", F.bitmap_bucket_number(slot)).withColumn("__fw_bit", F.bitmap_bit_position(slot))
+        bit = F.expr("getbit(cast(conv(hex(substring(__fw_map, cast(__fw_bit div 8 as int) + 1, 1)), 16, 10) as bigint), cast(__fw_bit % 8 as int))")
         return (
-            probe.join(F.broadcast(self.maps), "_bucket", "left")
+            probe.join(F.broadcast(self.maps), "__fw_bucket", "left")
             .withColumn(name, F.coalesce(bit > 0, F.lit(False)))
-            .drop("_bucket", "_bit", "_map")
+            .drop("__fw_bucket", "__fw_bit", "__fw_map")
         )
 
 

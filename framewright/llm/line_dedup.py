@@ -93,7 +93,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     removed = chunks.join(first, ["hash", "chunk"]).where(~F.col("first").eqNullSafe(place))
     removed = materialise(
         removed.groupBy("id", "mark").agg(
-            F.collect_set("no").alias("numbers"),
+            F.collect_set("no").alias("__fw_numbers"),
             F.count_distinct("no").alias("removed_chunks"),
             F.sort_array(F.collect_set("first.id")).alias("copies_of"),
         ),
@@ -101,19 +101,19 @@ def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     )
 
     touched = KeyFilter(removed.select(F.xxhash64("id", "mark").alias("key")), "key")
-    marked = touched.flag(docs.withColumn("_mark", mark), F.xxhash64(F.col(id_col), "_mark"), "_touched")
-    names = [c for c in docs.columns]
-    same = marked.where("not _touched").select(
+    marked = touched.flag(docs.withColumn("__fw_mark", mark), F.xxhash64(F.col(id_col), "__fw_mark"), "__fw_touched")
+    names = docs.columns
+    same = marked.where("not __fw_touched").select(
         *names, F.lit(0).cast("long").alias("removed_chunks"), F.lit(0).cast("long").alias("removed_lines"),
         F.array().cast(removed.schema["copies_of"].dataType).alias("copies_of"))
-    joined = marked.where("_touched").join(
-        removed.select(F.col("id").alias("_id"), F.col("mark").alias("_m"), "numbers", "removed_chunks", "copies_of"),
-        F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")), "left")
-    numbers = F.coalesce("numbers", F.array().cast("array<int>"))
-    kept = F.filter("_chunks", lambda c: ~F.array_contains(numbers, c["no"]))
-    gone = F.filter("_chunks", lambda c: F.array_contains(numbers, c["no"]))
-    joined = joined.withColumn("_chunks", F.when(F.col("numbers").isNotNull(), line_chunks(F.col(text), True)))
-    new_text = F.when(F.col("numbers").isNull(), F.col(text)).otherwise(
+    joined = marked.where("__fw_touched").join(
+        removed.select(F.col("id").alias("__fw_id"), F.col("mark").alias("__fw_m"), "__fw_numbers", "removed_chunks", "copies_of"),
+        F.col(id_col).eqNullSafe(F.col("__fw_id")) & (F.col("__fw_mark") == F.col("__fw_m")), "left")
+    numbers = F.coalesce("__fw_numbers", F.array().cast("array<int>"))
+    kept = F.filter("__fw_chunks", lambda c: ~F.array_contains(numbers, c["no"]))
+    gone = F.filter("__fw_chunks", lambda c: F.array_contains(numbers, c["no"]))
+    joined = joined.withColumn("__fw_chunks", F.when(F.col("__fw_numbers").isNotNull(), line_chunks(F.col(text), True)))
+    new_text = F.when(F.col("__fw_numbers").isNull(), F.col(text)).otherwise(
         F.array_join(F.transform(kept, lambda c: c["chunk"]), "\n"))
     changed = joined.select(
         *[new_text.alias(text) if c == text else F.col(c) for c in names],

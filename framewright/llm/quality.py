@@ -188,18 +188,18 @@ def score_documents(
     score = scorer(train(docs, labels, text, id_col))
     docs = docs.drop("p_document", "p_site", "p_bad")
     scored = docs.withColumn("p_document", score(F.col(text)))
-    site = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((host, "_host"), (path, "_path"))]
+    site = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((host, "__fw_host"), (path, "__fw_path"))]
     p = F.least(F.greatest("p_document", F.lit(1e-6)), F.lit(1 - 1e-6))
-    paths = scored.select(*site, F.round(p * 1_000_000).cast("long").alias("p")).groupBy("_host", "_path").agg(
+    paths = scored.select(*site, F.round(p * 1_000_000).cast("long").alias("p")).groupBy("__fw_host", "__fw_path").agg(
         F.count("*").alias("n"), (F.sum("p") / 1_000_000).alias("bad"))
     paths = materialise(paths.withColumn("all", F.lit(1)), "paths")
-    hosts = paths.groupBy("_host", "all").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    hosts = paths.groupBy("__fw_host", "all").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = hosts.groupBy("all").agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1)).alias("mean"))
-    posts = shrink(paths.drop("all"), shrink(hosts, whole, "all"), "_host").crossJoin(F.broadcast(whole.select(F.col("mean").alias("_whole"))))  # one row
-    posts = materialise(posts.select("_host", "_path", F.col("mean").alias("p_site"), "_whole"), "posteriors")
-    joined = scored.select("*", *site).join(small(posts), ["_host", "_path"], "left")
-    odds = _logit(p) + _logit(F.col("p_site")) - _logit(F.col("_whole"))
-    return joined.withColumn("p_bad", 1 / (1 + F.exp(-odds))).drop("_host", "_path", "_whole")
+    posts = shrink(paths.drop("all"), shrink(hosts, whole, "all"), "__fw_host").crossJoin(F.broadcast(whole.select(F.col("mean").alias("__fw_whole"))))  # one row
+    posts = materialise(posts.select("__fw_host", "__fw_path", F.col("mean").alias("p_site"), "__fw_whole"), "posteriors")
+    joined = scored.select("*", *site).join(small(posts), ["__fw_host", "__fw_path"], "left")
+    odds = _logit(p) + _logit(F.col("p_site")) - _logit(F.col("__fw_whole"))
+    return joined.withColumn("p_bad", 1 / (1 + F.exp(-odds))).drop("__fw_host", "__fw_path", "__fw_whole")
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, **names) -> DataFrame:

@@ -218,9 +218,9 @@ def shard_table(df: DataFrame, arrivals: int = 4, target_bytes: int = 32 << 20,
     landing = f"{store.root}/data"
     batch = F.pmod(F.xxhash64(*df.columns), F.lit(arrivals))
     run = uuid.uuid4().hex
-    df.withColumn("_arrival", F.concat(F.lit(run), F.lit("-"), batch.cast("string"))).write.mode("append").partitionBy("_arrival").parquet(landing)
+    df.withColumn("__fw_arrival", F.concat(F.lit(run), F.lit("-"), batch.cast("string"))).write.mode("append").partitionBy("__fw_arrival").parquet(landing)
     for i in range(arrivals):
-        store.append([f"{landing}/_arrival={run}-{i}"], f"arrival {i}")
+        store.append([f"{landing}/__fw_arrival={run}-{i}"], f"arrival {i}")
         while store.compact():
             store.vacuum()
     version, shards = store.manifest()

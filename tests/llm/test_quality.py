@@ -53,7 +53,7 @@ def test_sparse_sites_shrink_towards_the_corpus(spark):
 
 def test_hard_cases(spark):
     nothing = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    got = score_documents(documents(spark, extra=("_host", "p_bad")), nothing).collect()
+    got = score_documents(documents(spark, extra=("_host", "_whole", "p_bad")), nothing).collect()
     assert ids(r.doc_id for r in got) == ALL_IDS and len({r.p_document for r in got}) == 1
     odd = spark.createDataFrame([(None, 1, 0), (3, None, 1), (4, 0, 1), (4, 0, 1), (5, 1, 0), (2, 1, 0)], nothing.schema)
     got = score_documents(documents(spark).selectExpr("* except (source, lang)", "cast(null as string) source", "cast(null as string) lang"), odd).collect()
