@@ -26,7 +26,7 @@ SEQUENCE, WINDOW_SEQUENCES, END_ID = 2048, 64, 1
 #: More sources than this share so many queues by hash.
 MAX_QUEUES = 4_096
 #: Pieces between spaces, and words, that a task remembers.
-PIECES_HELD = 250_000
+PIECES_HELD = 500_000
 
 
 #: The word pattern, and the normalisers, of the tokenizers that `WordTokenizer` has a short way for.
