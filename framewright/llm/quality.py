@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, small
 from .empirical_bayes import shrink
-from .shingles import texts_of, windows, word_hashes
+from .shingles import texts_of
 
 #: The classifier is fitted on at most so many labelled rows, those of smallest hashed id.
 TRAIN_ROWS = 8_000
@@ -34,16 +36,15 @@ def word_features(word: bytes) -> list[str]:
     return [core, *(core[:n] + "~" for n in (4, 5, 6) if len(core) > n)] if len(core) > 3 else []
 
 
-def _shape(data: bytes) -> list[float]:
+def _shape(data: bytes, words: list[bytes]) -> list[float]:
     """Shares of capitals, marks, bars and non-ASCII bytes, repetition, word length, log length."""
     n = max(1, len(data))
     upper, lower = n - len(data.translate(None, _UPPER)), n - len(data.translate(None, _LOWER))
-    hashes = word_hashes(data)
-    runs = windows(hashes, 3)
+    again = max(sum(map(eq, words, words[lag:])) for lag in (1, 2, 3))  # words that stand 1 to 3 words before as well
     return [
         upper / max(1, upper + lower), (n - len(data.translate(None, _MARKS))) / n, data.count(b"|") / n,
-        sum(map(data.count, (b"\xc3", b"\xc2"))) / n, 1 - len(np.unique(runs)) / max(1, len(runs)),
-        len(data) / max(1, len(hashes)), math.log1p(len(hashes)),
+        sum(map(data.count, (b"\xc3", b"\xc2"))) / n, again / max(1, len(words)),
+        len(data) / max(1, len(words)), math.log1p(len(words)),
     ]
 
 
@@ -56,16 +57,17 @@ class Classifier:
     weights: list[float]
     base: float
 
-    def features(self, data: bytes, known: dict[bytes, float]) -> list[float]:
-        found = set()
-        for word in set(data.lower().split()):
-            if word not in known:
-                if len(known) > 400_000:
-                    known.clear()
-                known[word] = max((self.words.get(x, 0.0) for x in word_features(word)), default=0.0)
-            if known[word]:
-                found.add(word)
-        return [sum(known.get(w, 0.0) for w in found), *_shape(data)]
+    @cached_property
+    def heads(self) -> set[bytes]:
+        """The first four bytes of every feature; all have that many characters at least."""
+        return {x.encode()[:4] for x in self.words}
+
+    def features(self, data: bytes) -> list[float]:
+        evidence, heads, words = 0.0, self.heads, data.lower().split()
+        for word in set(words):
+            if word.strip(_EDGES)[:4] in heads:
+                evidence += max((self.words.get(x, 0.0) for x in word_features(word)), default=0.0)
+        return [evidence, *_shape(data, words)]
 
     def matrix(self, rows: np.ndarray) -> np.ndarray:
         """One-hot bins, and a column of ones."""
@@ -78,8 +80,7 @@ class Classifier:
         """The probability of being bad."""
         if not len(self.weights) or not texts:
             return np.full(len(texts), self.base)
-        known: dict[bytes, float] = {}
-        rows = np.array([self.features(t or b"", known) for t in texts])
+        rows = np.array([self.features(t or b"") for t in texts])
         return 1 / (1 + np.exp(-np.clip(self.matrix(rows) @ np.array(self.weights), -30, 30)))
 
 
@@ -141,9 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     model = Classifier(words, [], [], base)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, float] = {}
         for batch in batches:
-            found = [model.features(t or b"", known) for t in texts_of(batch.column(0))]
+            found = [model.features(t or b"") for t in texts_of(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(1)], ["x", "bad"])
 
     described = rows.select("body", "bad").mapInArrow(describe, "x array<double>, bad int").collect()

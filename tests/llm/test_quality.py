@@ -63,4 +63,4 @@ def test_hard_cases(spark):
 
 def test_features_take_whole_texts():
     model = quality.Classifier({"vilefoo": 9.0}, [], [], 0.5)
-    assert model.features(b"word " * 100_000 + b"VILEFOO!", {})[0] == 9.0
+    assert model.features(b"word " * 100_000 + b"VILEFOO!")[0] == 9.0
