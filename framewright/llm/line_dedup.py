@@ -1,4 +1,4 @@
-"""Removal of passages that repeat across documents, by content-defined chunks of lines."""
+"""Removal of passages that repeat across documents, by content-defined chunks and by runs of lines."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from .common import KeyFilter, materialise
 WINDOW, DIVISOR = 3, 3
 #: A line of so many words is a chunk of its own; a chunk of several lines counts from so many words.
 LONG_LINE, LEAST_WORDS = 50, 8
+#: A run of shorter lines that holds so many words is a passage, wherever chunks end.
+PASSAGE_WORDS = 50
 
 
 def _let(value: Column, body) -> Column:
@@ -22,56 +24,137 @@ def _rotated(x: Column, bits: int) -> Column:
     return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)) if bits else x
 
 
-def line_chunks(text: Column, with_text: bool) -> Column:
-    """The chunks of a text: array of (no, hash, counts, lines, chunk).
+def _chunk_ends(hashes: Column, words: Column) -> Column:
+    """Where the chunks of a text end, as numbers of lines before the boundary.
 
     A cyclic-polynomial hash rolls over the hashes of the last WINDOW lines; a chunk ends where it is
     divisible by DIVISOR, so a boundary depends on the lines just before it and insertions elsewhere
-    don't shift it. A line of LONG_LINE words has boundaries on both sides. `counts` says that the chunk
-    may be removed: several lines with LEAST_WORDS words in all, or a long line.
+    don't shift it. A line of LONG_LINE words has boundaries on both sides.
     """
 
-    def chunks(lines: Column, hashes: Column, words: Column, ends: Column) -> Column:
-        def chunk(end: Column, no: Column) -> Column:
-            start = F.when(no > 0, F.get(ends, no - 1)).otherwise(0)
-            total = F.aggregate(F.slice(words, start + 1, end - start), F.lit(0), lambda a, w: a + w)
-            counts = ((end - start > 1) & (total >= LEAST_WORDS)) | (total >= LONG_LINE)
-            body = F.array_join(F.slice(lines, start + 1, end - start), "\n") if with_text else F.lit(None).cast("string")
-            return F.struct(
-                no.alias("no"), F.xxhash64(F.slice(hashes, start + 1, end - start)).alias("hash"),
-                counts.alias("counts"), (end - start).alias("lines"), body.alias("chunk"),
+    def ends_here(end: Column) -> Column:
+        rolled = F.lit(0).cast("long")
+        for back in range(WINDOW):
+            rolled = rolled.bitwiseXOR(_rotated(F.coalesce(F.get(hashes, end - 1 - back), F.lit(0)), back))
+        near_long = (F.get(words, end - 1) >= LONG_LINE) | (F.coalesce(F.get(words, end), F.lit(LONG_LINE)) >= LONG_LINE)
+        return near_long | (F.pmod(F.xxhash64(rolled), F.lit(DIVISOR)) == 0)
+
+    return F.filter(F.sequence(F.lit(1), F.size(hashes)), ends_here)
+
+
+def _passages(words: Column) -> Column:
+    """The least runs of lines that hold PASSAGE_WORDS, as first line * 2**32 + last line.
+
+    From each line forward to the first that completes the words, and from each line back. A longer run
+    that stands twice is covered by such runs that stand twice: by the one from its first line, and for
+    each line after that by the one back from it. Which runs are least depends on their own lines alone,
+    so equal passages have equal runs whatever stands around them. Lines of LONG_LINE words are chunks
+    of their own and end a run; blank lines hold no word and neither begin nor end one, so a run has at
+    most PASSAGE_WORDS lines with words.
+    """
+
+    def reached(order: Column, at: Column) -> Column:
+        """The line of `order` that completes the words from number `at` on, else null."""
+
+        def step(seen: Column, line: Column) -> Column:  # words so far, PASSAGE_WORDS + line once complete, -1 at a long line
+            count = F.get(words, line)
+            return (
+                F.when((seen < 0) | (seen >= PASSAGE_WORDS), seen).when(count >= LONG_LINE, -1)
+                .when(seen + count >= PASSAGE_WORDS, line + PASSAGE_WORDS).otherwise(seen + count)
             )
 
-        return F.transform(ends, chunk)
+        end = F.aggregate(F.slice(order, at + 1, PASSAGE_WORDS), F.lit(0), step)
+        return F.when(end >= PASSAGE_WORDS, end - PASSAGE_WORDS)
 
-    def cut(lines: Column, hashes: Column, words: Column) -> Column:
-        def ends_here(end: Column) -> Column:
-            rolled = F.lit(0).cast("long")
-            for back in range(WINDOW):
-                rolled = rolled.bitwiseXOR(_rotated(F.coalesce(F.get(hashes, end - 1 - back), F.lit(0)), back))
-            near_long = (F.get(words, end - 1) >= LONG_LINE) | (F.coalesce(F.get(words, end), F.lit(LONG_LINE)) >= LONG_LINE)
-            return near_long | (F.pmod(F.xxhash64(rolled), F.lit(DIVISOR)) == 0)
+    def runs(order: Column, forward: bool) -> Column:
+        def run(line: Column, at: Column) -> Column:
+            last = reached(order, at)
+            first, last = (line, last) if forward else (last, line)
+            return F.when(F.get(words, line) < LONG_LINE, F.shiftleft(first.cast("long"), 32).bitwiseOR(last.cast("long")))
 
-        return F.filter(F.sequence(F.lit(1), F.size(lines)), ends_here)
+        return F.transform(order, run)
+
+    filled = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda line: F.get(words, line) > 0)
+    return _let(filled, lambda order: F.filter(
+        F.array_union(runs(order, True), _let(F.reverse(order), lambda back: runs(back, False))), lambda run: run.isNotNull()))
+
+
+def _with_lines(text: Column, body) -> Column:
+    """`body(lines, hashes, words)` of a text; a blank line has no words."""
+
+    def count(line: Column) -> Column:
+        return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + (line != "").cast("int")
 
     return _let(F.split(text, "\n"), lambda lines: _let(
         F.transform(lines, lambda x: F.xxhash64(x)), lambda hashes: _let(
-            F.transform(lines, lambda x: F.length(F.trim(x)) - F.length(F.replace(F.trim(x), F.lit(" "), F.lit(""))) + 1),
-            lambda words: _let(cut(lines, hashes, words), lambda ends: chunks(lines, hashes, words, ends)))))
+            F.transform(lines, lambda x: count(F.trim(x))), lambda words: body(lines, hashes, words))))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """`docs` with repeated chunks taken out of `text`, plus removed_chunks, removed_lines and copies_of.
+def line_units(text: Column, with_text: bool) -> Column:
+    """What may be removed from a text: array of (start, lines, hash, chunk), chunks and then passages.
 
-    Of equal chunks, that of the smallest (id, position) stays wherever it is; copies_of lists the ids
-    of the rows whose chunks stayed instead. Rows are never dropped here: a row all of whose chunks stand
-    elsewhere keeps an empty text.
+    A chunk counts if it is several lines with LEAST_WORDS words in all (a blank line as one), or a long
+    line. The hash of a passage is never meant to equal that of a chunk of the same lines.
+    """
 
-    1. The scan yields a hash a chunk; hashes that occur twice go into a bitmap of fixed size.
-    2. Only chunks that pass it are read as text and grouped by their bytes, so equal hashes of
-       different chunks don't matter. A chunk in a third of all rows is one row a task after partial
+    def units(lines: Column, hashes: Column, words: Column) -> Column:
+        def unit(start: Column, size: Column, *kind: Column) -> Column:
+            body = F.array_join(F.slice(lines, start + 1, size), "\n") if with_text else F.lit(None).cast("string")
+            return F.struct(
+                start.alias("start"), size.alias("lines"), F.xxhash64(F.slice(hashes, start + 1, size), *kind).alias("hash"), body.alias("chunk"))
+
+        def chunk(ends: Column) -> Column:
+            def one(end: Column, no: Column) -> Column:
+                start = F.when(no > 0, F.get(ends, no - 1)).otherwise(0)
+                total = F.aggregate(F.slice(words, start + 1, end - start), F.lit(0), lambda a, w: a + F.greatest(w, F.lit(1)))
+                return F.when(((end - start > 1) & (total >= LEAST_WORDS)) | (total >= LONG_LINE), unit(start, end - start))
+
+            return F.transform(ends, one)
+
+        def passage(run: Column) -> Column:
+            start, last = F.shiftright(run, 32).cast("int"), run.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+            return unit(start, last - start + 1, F.lit("passage"))
+
+        chunks = F.filter(_let(_chunk_ends(hashes, words), chunk), lambda c: c.isNotNull())
+        return F.concat(chunks, F.transform(_passages(words), passage))
+
+    return _with_lines(text, units)
+
+
+def _without(text: Column, numbers: Column) -> Column:
+    """(text without the lines of these numbers, chunks that lost a line, lines lost)."""
+
+    def rest(lines: Column, hashes: Column, words: Column) -> Column:
+        def lost(ends: Column) -> Column:
+            def touched(end: Column, no: Column) -> Column:
+                return F.arrays_overlap(F.sequence(F.when(no > 0, F.get(ends, no - 1)).otherwise(0), end - 1), numbers)
+
+            return F.size(F.filter(ends, touched))
+
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), numbers)
+        return F.struct(
+            F.array_join(F.transform(kept, lambda line: F.get(lines, line)), "\n").alias("text"),
+            _let(_chunk_ends(hashes, words), lost).cast("long").alias("chunks"), F.size(numbers).cast("long").alias("lines"))
+
+    return _with_lines(text, rest)
+
+
+def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """`docs` with repeated chunks and passages taken out of `text`, plus removed_chunks, removed_lines and copies_of.
+
+    A passage is a run of lines, each of under LONG_LINE words, that holds PASSAGE_WORDS in all. Of equal
+    chunks, and of equal passages, that of the smallest (id, position) stays wherever it is, and so does
+    whatever overlaps it in its own text; a line that goes always stands at a smaller (id, position) too.
+    removed_chunks counts chunks that lost a line; copies_of lists the ids of the rows that
+    hold the first of its chunks and passages. Rows are never dropped here: a row all of whose lines stand elsewhere keeps
+    an empty text.
+
+    1. The scan yields a hash a chunk and a hash a least passage; hashes that occur twice go into a bitmap
+       of fixed size.
+    2. Only chunks and passages that pass it are read as text and grouped by their bytes, so equal hashes
+       of different ones don't matter. A chunk in a third of all rows is one row a task after partial
        aggregation, and the join back is one that Spark can split.
-    3. Texts are shuffled only for documents that lose a chunk; the others pass straight through.
+    3. Texts are shuffled only for documents that lose a line; the others pass straight through.
 
     Nulls: a null text stays null; a null id sorts first. Rows that repeat id and text count as one
     document. Empty texts have one empty chunk, which is never removed. Other columns pass through; the
@@ -82,19 +165,18 @@ def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     mark = F.xxhash64(F.col(text))
     rows = docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text).alias("body")).where("body is not null")
 
-    hashes = rows.select(F.explode(line_chunks(F.col("body"), False)).alias("c")).where("c.counts").groupBy("c.hash")
+    hashes = rows.select(F.explode(line_units(F.col("body"), False)).alias("c")).groupBy("c.hash")
     again = KeyFilter(hashes.agg(F.count("*").alias("n")).where("n > 1").select("hash"), "hash")
 
-    chunks = rows.select("id", "mark", F.explode(line_chunks(F.col("body"), True)).alias("c")).where("c.counts")
-    chunks = again.flag(chunks.select("id", "mark", "c.no", "c.hash", "c.lines", "c.chunk"), F.col("hash"), "again")
-    chunks = materialise(chunks.where("again").drop("again"), "chunks")
-    place = F.struct("id", "mark", "no")
+    chunks = rows.select("id", "mark", F.explode(line_units(F.col("body"), True)).alias("c")).select("id", "mark", "c.*")
+    chunks = materialise(again.flag(chunks, F.col("hash"), "again").where("again").drop("again"), "chunks")
+    place = F.struct("id", "mark", "start")
     first = chunks.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    removed = chunks.join(first, ["hash", "chunk"]).where(~F.col("first").eqNullSafe(place))
+    overlaps = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.mark") == F.col("mark")) & (F.col("start") < F.col("first.start") + F.col("lines"))
+    removed = chunks.join(first, ["hash", "chunk"]).where(~overlaps)
     removed = materialise(
         removed.groupBy("id", "mark").agg(
-            F.collect_set("no").alias("__fw_numbers"),
-            F.count_distinct("no").alias("removed_chunks"),
+            F.array_distinct(F.flatten(F.collect_set(F.sequence("start", F.col("start") + F.col("lines") - 1)))).alias("__fw_numbers"),
             F.sort_array(F.collect_set("first.id")).alias("copies_of"),
         ),
         "removed",
@@ -107,18 +189,14 @@ def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
         *names, F.lit(0).cast("long").alias("removed_chunks"), F.lit(0).cast("long").alias("removed_lines"),
         F.array().cast(removed.schema["copies_of"].dataType).alias("copies_of"))
     joined = marked.where("__fw_touched").join(
-        removed.select(F.col("id").alias("__fw_id"), F.col("mark").alias("__fw_m"), "__fw_numbers", "removed_chunks", "copies_of"),
+        removed.select(F.col("id").alias("__fw_id"), F.col("mark").alias("__fw_m"), "__fw_numbers", "copies_of"),
         F.col(id_col).eqNullSafe(F.col("__fw_id")) & (F.col("__fw_mark") == F.col("__fw_m")), "left")
-    numbers = F.coalesce("__fw_numbers", F.array().cast("array<int>"))
-    kept = F.filter("__fw_chunks", lambda c: ~F.array_contains(numbers, c["no"]))
-    gone = F.filter("__fw_chunks", lambda c: F.array_contains(numbers, c["no"]))
-    joined = joined.withColumn("__fw_chunks", F.when(F.col("__fw_numbers").isNotNull(), line_chunks(F.col(text), True)))
-    new_text = F.when(F.col("__fw_numbers").isNull(), F.col(text)).otherwise(
-        F.array_join(F.transform(kept, lambda c: c["chunk"]), "\n"))
+    joined = joined.withColumn("__fw_rest", F.when(F.col("__fw_numbers").isNotNull(), _without(F.col(text), F.col("__fw_numbers"))))
+    new_text = F.when(F.col("__fw_numbers").isNull(), F.col(text)).otherwise(F.col("__fw_rest.text"))
     changed = joined.select(
         *[new_text.alias(text) if c == text else F.col(c) for c in names],
-        F.coalesce("removed_chunks", F.lit(0)).alias("removed_chunks"),
-        F.coalesce(F.aggregate(gone, F.lit(0), lambda a, c: a + c["lines"]), F.lit(0)).cast("long").alias("removed_lines"),
+        F.coalesce("__fw_rest.chunks", F.lit(0)).cast("long").alias("removed_chunks"),
+        F.coalesce("__fw_rest.lines", F.lit(0)).cast("long").alias("removed_lines"),
         F.coalesce("copies_of", F.array().cast(removed.schema["copies_of"].dataType)).alias("copies_of"),
     )
     return same.unionByName(changed)

@@ -70,3 +70,39 @@ def test_hard_cases(spark):
     got = dedup_lines(documents(spark, twice)).collect()
     assert sorted((r.doc_id or 0, len(r.text)) for r in got) == [(0, len(line)), (1, 0), (1, 0), (2, 0)]
     assert dedup_lines(documents(spark).limit(0)).count() == 0
+
+
+def test_passages_of_short_lines(spark):
+    """Runs of 2 to 6 short lines that hold 50 words go whole; those of fewer words, and what is around, stay."""
+    rng = random.Random(7)
+
+    def line(words):
+        return " ".join(f"w{rng.randrange(10**9)}" for _ in range(words))
+
+    rows, want = [], []
+    for case, (lines, words) in enumerate([(2, 30), (2, 25), (3, 40), (4, 30), (5, 10), (6, 9), (6, 30)]):
+        passage = [line(words) for _ in range(lines)]
+        uneven = [*passage[:1], "", *passage[1:], line(3)]
+        for copy in range(6):
+            around = [line(30), line(30)], [line(30), line(30)]
+            rows.append((100 * case + copy, "\n".join([*around[0], *uneven, *around[1]])))
+            want.append("\n".join([*around[0], *(() if copy else uneven), *around[1]]))
+    got = {r.doc_id: r for r in dedup_lines(documents(spark, [(*r, None) for r in rows])).collect()}
+    for (i, _), text in zip(rows, want):
+        assert got[i].text == text, i
+        assert (i // 100 * 100 in got[i].copies_of) == (got[i].removed_chunks > 0) == (i % 100 > 0), i
+
+    pair = [line(24), line(24)]  # a passage only with a line that differs; chunks may take it, passages may not
+    apart = [(i, "\n".join([line(30), *pair, line(30)])) for i in range(8)]
+    got = {r.doc_id: r.text for r in dedup_lines(documents(spark, [(*r, None) for r in apart])).collect()}
+    assert got == brute(apart)
+
+
+def test_a_passage_within_its_own_text(spark):
+    """The first copy stays whole, whatever overlaps it, and blank lines are no words."""
+    one = " ".join(f"w{i}" for i in range(10))
+    text = "\n".join([one] * 20)
+    blanks = [(i, f"head{i}\n" + "\n" * 60 + f"tail{i}") for i in (2, 3)]
+    got = {r.doc_id: r for r in dedup_lines(documents(spark, [(1, text, None), *((*r, None) for r in blanks)])).collect()}
+    assert got[1].text == "\n".join([one] * 5) and got[1].removed_lines == 15 and got[1].copies_of == [1]
+    assert {i: got[i].text for i, _ in blanks} == brute(blanks)
