@@ -13,11 +13,12 @@ def shrink(level: DataFrame, parent: DataFrame, up: str) -> DataFrame:
     """`level` (n, bad, ..., `up`) with posterior a, b and mean; `parent` has `up` and mean.
 
     The prior's mean is the parent's. Its strength is one number a level, by moments: the excess of
-    sum n (p - m)^2 over what binomial noise alone gives is the variance between sites.
+    sum n (p - m)^2 over what binomial noise alone gives is the variance between sites. A site without
+    rows (n = 0) has no part in that and gets the prior itself.
     """
     seen = level.join(parent.select(up, F.col("mean").alias("m0")), up)
     v = F.col("m0") * (1 - F.col("m0"))
-    moments = seen.agg(
+    moments = seen.where("n > 0").agg(
         F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("m0"), F.lit(2))).alias("q"),
         F.sum(v).alias("e0"), F.sum(F.col("n") * v).alias("e1"),
     )

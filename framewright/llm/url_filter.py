@@ -30,20 +30,22 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """Posterior bad rate of every host in `outcomes` (host, bad 0/1): n, bad, a, b, mean, low.
+    """Posterior bad rate of every host in `outcomes` (host, bad 0/1 or null): n, bad, a, b, mean, low.
 
     Beta-binomial shrinkage goes from all pages to the suffix (last label of the host), from there to
-    the registered domain (last two labels) and to the host. `low` is the lower posterior bound.
+    the registered domain (last two labels) and to the host. `low` is the lower posterior bound. A host
+    that has only nulls gets what is known of its domain, else of its suffix, else of all pages; without
+    any label there are no rows.
     Counts are aggregated before each shuffle, so a host with a third of the pages costs one row a task.
     """
     host = (
-        outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+        outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
         .withColumn("domain", F.substring_index("host", ".", -2))
         .withColumn("suffix", F.substring_index("host", ".", -1))
     )
     domain = host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffix = domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("all", F.lit(1))
-    total = suffix.groupBy("all").agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("mean"))
+    total = suffix.groupBy("all").agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("mean"), F.sum("n").alias("n")).where("n > 0")
     suffix = shrink(suffix, total, "all").drop("all")
     domain = shrink(domain, suffix, "suffix")
     host = shrink(host, domain, "domain")
@@ -62,8 +64,9 @@ def filter_urls(
     bound of the host's bad rate is above MAX_BAD. `outcomes` has (page id, bad): labelled pages.
 
     Nulls: a null url, or one without ``://``, has empty host and path, no rule, and the verdict of the
-    empty host. Hosts without labelled pages are allowed. Outcomes with null id or null bad are left out;
-    repeated ones each count. Empty tables are fine; other columns are not looked at.
+    empty host. A host without labelled pages is judged by its domain, suffix or all pages, by the same
+    bound; without any label all are allowed. Outcomes with null id or null bad are left out; repeated
+    ones each count. Empty tables are fine; other columns are not looked at.
     """
     host, path = split_url(F.col("url"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url")).select(
@@ -74,8 +77,9 @@ def filter_urls(
         fits = ((F.col("host") == h) | F.col("host").endswith("." + h)) & F.col("path").startswith(p)
         rule, ruled = F.when(fits, F.lit(h + p)).otherwise(rule), F.when(fits, F.lit(verdict)).otherwise(ruled)
     known = outcomes.select(F.col(id_col).alias("page_id"), F.col("bad").cast("int").alias("bad")).where("bad is not null")
+    labelled = rows.select("page_id", "host").join(known, "page_id").select("host", "bad")
     bad_hosts = (
-        host_reputation(rows.select("page_id", "host").join(known, "page_id").select("host", "bad"))
+        host_reputation(labelled.unionByName(rows.select("host", F.lit(None).cast("int").alias("bad"))))
         .where(F.col("low") > MAX_BAD).select("host", F.lit("block").alias("bad"))
     )
     return rows.join(bad_hosts, "host", "left").select(

@@ -36,6 +36,18 @@ def test_reputation_needs_evidence(spark):
     assert len(got) == len(rows)
 
 
+def test_hosts_without_labels_are_judged_by_their_domain(spark):
+    """Down to the suffix and to all pages where the domain has no labels either."""
+    sites = [(f"h{i}.spam.org", 9) for i in range(20)] + [(f"h.d{i}.info", 9) for i in range(20)] + [(f"h{i}.good{i % 10}.org", 1) for i in range(150)]
+    rows = [(10 * s + i, f"http://{host}/") for s, (host, _) in enumerate(sites) for i in range(10)]
+    outcomes = [(10 * s + i, int(i < bad)) for s, (_, bad) in enumerate(sites) for i in range(10)]
+    new = {"x.spam.org": "block", "spam.org": "block", "x.new.info": "block", "x.good1.org": "allow", "x.new.zzz": "allow", "": "allow"}
+    got = verdicts(spark, rows + [(9000 + i, f"http://{host}/") for i, host in enumerate(new)] + [(None, "http://y.spam.org/")], [*outcomes, (9000, None), (None, 0)])
+    assert {r.host: r.verdict for r in got if r.host in new} == new
+    assert {r.verdict for r in got if r.host in ("y.spam.org", "h1.spam.org")} == {"block"}
+    assert {r.verdict for r in got if ".good" in r.host} == {"allow"} and len(got) == len(rows) + 7
+
+
 def test_empty(spark):
     assert verdicts(spark, [], []) == []
     labels = spark.createDataFrame([(1, 0, None), (2, None, 0), (3, 1, 0), (4, None, 1)], "doc_id long, quality int, toxic int")
