@@ -134,7 +134,12 @@ class ShardStore:
         return max(0, math.ceil(math.log(self.target * 0.75 / max(1, shard.bytes), self.fan_in)))
 
     def plan(self, shards: list[Shard]) -> list[list[Shard]]:
-        """Runs of similar shards to be merged: `fan_in` or more of one tier, up to the target together."""
+        """Runs of similar shards to be merged: enough of one tier to be done together, else `fan_in` or more.
+
+        A run that is done ends before it would pass 1.25 of the target; one that isn't takes the next
+        shard in any case, so a merge stays below 1.5 of the target.
+        """
+        done = self.target * 0.75
         tiers: dict[int, list[Shard]] = {}
         for s in sorted(shards, key=lambda s: (s.bytes, s.path)):
             tiers.setdefault(self.tier(s), []).append(s)
@@ -142,14 +147,14 @@ class ShardStore:
         for tier, members in sorted(tiers.items(), reverse=True):
             run, size = [], 0
             for s in members if tier else []:
-                if run and size + s.bytes > self.target * 1.25:
+                if size >= done and size + s.bytes > self.target * 1.25:
                     runs.append(run)
                     run, size = [], 0
                 run.append(s)
                 size += s.bytes
             if run:
                 runs.append(run)
-        return [r for r in runs if len(r) >= self.fan_in]
+        return [r for r in runs if len(r) >= self.fan_in or len(r) > 1 and sum(s.bytes for s in r) >= done]
 
     def compact(self) -> int | None:
         """One round of merges, committed together; None if there is nothing to merge.

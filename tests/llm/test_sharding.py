@@ -1,6 +1,6 @@
 import pytest
 
-from framewright.llm.sharding import ConflictError, ShardStore, shard_table
+from framewright.llm.sharding import ConflictError, Shard, ShardStore, shard_table
 
 
 def make(spark, rows, schema="doc_id long, text string, shard string"):
@@ -18,6 +18,19 @@ def test_arrivals_are_compacted_and_no_row_is_lost(spark, tmp_path):
     assert {r.shard_rows for r in out.collect()} == {s.rows for s in shards if s.rows}
 
 
+@pytest.mark.parametrize("size", [200, 320, 350, 400, 500, 620, 630, 700, 749])
+def test_shards_below_the_target_are_merged_to_it(spark, tmp_path, size):
+    store = ShardStore(spark, f"file://{tmp_path}/t", target_bytes=1000)
+    shards = [Shard(f"{i:03}", 1, size) for i in range(100)]
+    while runs := store.plan(shards):
+        gone = {s.path for r in runs for s in r}
+        shards = [s for s in shards if s.path not in gone] + [Shard(r[0].path, len(r), sum(s.bytes for s in r)) for r in runs]
+    assert sum(s.rows for s in shards) == 100 and all(s.bytes < 1500 for s in shards)
+    left = [s.bytes for s in shards if s.bytes < 750]
+    assert sum(left) < 750 and len(left) < 4
+    assert not store.plan([Shard(str(i), 1, 200) for i in range(3)])  # too little yet: waits for a fourth
+
+
 def test_versions_stay_readable_until_vacuum(spark, tmp_path):
     store = ShardStore(spark, f"file://{tmp_path}/b", target_bytes=100_000, fan_in=2)
     for i in range(4):
