@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Edits allowed, as a share of an item's characters; items of fewer characters are too short to tell.
+#: Edits allowed, as a share of an item's characters; items of fewer characters allow none and must be whole words.
 ERROR_RATE, LEAST_CHARS = 0.05, 24
 #: So many items are held by a task at once, in expectation; a larger benchmark takes several passes.
 BLOCK_ITEMS = 20_000
@@ -54,11 +54,16 @@ def edit_search(pattern: str, text: str, budget: int) -> tuple[int, int] | None:
     return best
 
 
+def inside_word(text: str, at: int) -> bool:
+    """Does position `at` of `text` stand between two letters or digits?"""
+    return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+
+
 class Matcher:
     """Finds benchmark items in texts."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float = ERROR_RATE):
-        self.items = [(i, t, int(len(t) * error_rate)) for i, t in ((i, normalise(t)) for i, t in items) if len(t) >= LEAST_CHARS]
+        self.items = [(i, t, int(len(t) * error_rate) if len(t) >= LEAST_CHARS else 0) for i, t in ((i, normalise(t)) for i, t in items) if t]
         owners: dict[str, list[tuple[int, int]]] = {}
         for n, (_, item, budget) in enumerate(self.items):
             for offset, piece in pieces(item, budget):
@@ -74,10 +79,14 @@ class Matcher:
             return []
         body = normalise(text)
         starts: dict[int, list[int]] = {}
+        whole: dict[int, int] = {}  # end of the first match of each short item
         for end, (length, found) in self.index.iter(body):
             for n, offset in found:
-                starts.setdefault(n, []).append(end + 1 - length - offset)
-        out = []
+                if len(self.items[n][1]) >= LEAST_CHARS:
+                    starts.setdefault(n, []).append(end + 1 - length - offset)
+                elif n not in whole and not inside_word(body, end + 1 - length) and not inside_word(body, end + 1):
+                    whole[n] = end + 1
+        out = [(self.items[n][0], 0, end) for n, end in whole.items()]
         for n, places in starts.items():
             item_id, item, budget = self.items[n]
             best, done = None, -1
@@ -132,12 +141,13 @@ def find_leaks(
     (insert, delete, replace one character), both in lower case with single spaces. The item is split into
     one more piece than edits are allowed, so at least one piece occurs unchanged; an Aho-Corasick scan
     finds all pieces of all items in one pass over the text, and Myers' algorithm verifies the places that
-    they point to. The best match of an item in a document is reported, on ties the first.
+    they point to. The best match of an item in a document is reported, on ties the first. An item below
+    LEAST_CHARS characters is held if it occurs unchanged and neither end is between two letters or digits.
 
     The scan runs where the rows are; nothing is shuffled. The benchmark is the stated query set; beyond
     BLOCK_ITEMS items it is taken in blocks, a pass each, so a task's index is bounded.
 
-    Nulls: null texts hold nothing; null items and items below LEAST_CHARS characters are not looked for.
+    Nulls: null texts hold nothing; null items and items without a character are not looked for.
     Rows that repeat an id are reported each; so are items that repeat an id with another text. Empty
     tables give empty results; other columns are not looked at.
     """

@@ -79,3 +79,12 @@ def test_hard_cases(spark):
     assert find_leaks(documents(spark).limit(0), questions).count() == 0
     assert find_leaks(documents(spark), questions.limit(0)).count() == 0
     assert drop_leaks(documents(spark), questions.limit(0)).count() == len(ALL_IDS)
+
+
+def test_short_items_are_whole_words(spark):
+    benchmark = spark.createDataFrame([(1, "What is  H2O?"), (2, "cat"), (3, " \n"), (4, "= 5 kg"), (5, "a question of 23 chars.")], "item_id long, text string")
+    texts = {10: "Cat, what\nis h2o? A cat.", 11: "concatenate cats; 3 = 5 kgs", 12: "the tomcat and x= 5 kg", 13: "a question of 23 chars!", 14: "Cats. A QUESTION of 23 chars.", 15: ""}
+    docs = documents(spark, [(i, t, None) for i, t in texts.items()])
+    got = sorted(tuple(r) for r in find_leaks(docs, benchmark).collect())
+    assert got == [(10, 1, 0, 17), (10, 2, 0, 3), (12, 4, 0, 22), (14, 5, 0, 29)]
+    assert sorted(r.doc_id for r in drop_leaks(docs, benchmark).collect()) == [11, 13, 15]
