@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_roots: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,13 +27,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _root(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it goes when the driver's JVM ends in good order."""
+    root = f"{shared_dir(spark)}/framewright/{spark.sparkContext.applicationId}"
+    if root not in _roots:
+        fs, place = _hadoop(spark, root)
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
+        _roots.add(root)
+    return root
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/framewright/{uuid.uuid4().hex}-{name}"
+    return f"{_root(spark)}/{uuid.uuid4().hex}-{name}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back; cuts the lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._framewright_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what `materialise` wrote for this very frame; for steps of a loop whose successor is written."""
+    path = getattr(df, "_framewright_path", None)
+    if path:
+        fs, place = _hadoop(df.sparkSession, path)
+        fs.delete(place, True)
