@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, ascii_lower, materialise
+from .common import KeyFilter, ascii_lower, materialise, spread_join
 
 
 def exact_dedup(
@@ -17,22 +17,24 @@ def exact_dedup(
 
     1. Rows whose text has a byte length that no other text has are unique; only lengths are counted.
     2. Of the rest, only those that share length and hash of the first `prefix_chars` characters remain.
-    3. Only these are read in full: a bitmap of fixed size over the surviving (length, prefix) keys is
-       broadcast, and a text is hashed in the scan itself if its key may be among them. So no text is
-       ever shuffled, only 32-byte hashes, and a false positive of the bitmap costs one hash.
+    3. Only these are read in full: a bitmap over the surviving (length, prefix) keys is broadcast, and a
+       text is hashed in the scan itself if its key may be among them. So no text is ever shuffled, only
+       32-byte hashes, and a false positive of the bitmap costs one hash.
+    4. Rows without a hash leave here and meet no join; a hot group's rows are dealt to many tasks.
 
     `digest` asks for the hash of every text as a report column, which means reading them all.
 
     Nulls: a null text counts as empty. A row with null id is kept only if its whole group has null ids.
-    Repeated rows with one id are one another's copies and are all kept or all dropped with it. Empty
-    tables give empty results; other columns of `docs` are not looked at.
+    Repeated rows with one id are one another's copies and are all kept or all dropped with it. A very long
+    text costs one hash in the scan. Empty tables give empty results; other columns of `docs` are not
+    looked at, whatever their names.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(body).alias("len"), body.alias("body"))
     key = F.xxhash64("len", ascii_lower(F.substring("body", 1, prefix_chars)))
 
-    lengths = rows.groupBy("len").agg(F.count("*").alias("n")).where("n > 1").select("len")
-    prefixes = rows.select("len", key.alias("key")).join(lengths, "len", "left_semi")
+    lengths = materialise(rows.groupBy("len").agg(F.count("*").alias("n")).where("n > 1"), "lengths")
+    prefixes = spread_join(rows.select("len", key.alias("key")), lengths, ["len"], "n")
     survivors = prefixes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
 
     full = F.unhex(F.sha2(ascii_lower(F.col("body")), 256))
@@ -41,11 +43,11 @@ def exact_dedup(
         "id", F.when(F.col("again"), full).alias("hash"), *([full.alias("report")] if digest else [])
     )
     hashed = materialise(hashed, "text-hashes")
-    groups = (
-        hashed.where("hash is not null").groupBy("hash")
-        .agg(F.max("id").alias("keep"), F.count("*").alias("size")).where("size > 1")
-    )
-    out = hashed.join(groups, "hash", "left").withColumn("keep", F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep")))
+    again = hashed.where("hash is not null")
+    groups = materialise(again.groupBy("hash").agg(F.max("id").alias("keep"), F.count("*").alias("size"), F.count("*").alias("n")).where("size > 1"), "groups")
+    copies = spread_join(again, groups, ["hash"], "n", "left").drop("hash")
+    alone = hashed.where("hash is null").drop("hash").withColumn("keep", F.col("id")).withColumn("size", F.lit(None).cast("long"))
+    out = copies.withColumn("keep", F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep"))).unionByName(alone)
     return out.select(
         F.col("id").alias(id_col),
         F.col("keep").alias("keep_id"),

@@ -3,18 +3,23 @@ import struct
 
 import xxhash
 
-from framewright.llm.line_dedup import DIVISOR, LEAST_WORDS, LONG_LINE, WINDOW, dedup_lines
+from framewright.llm.line_dedup import DIVISOR, LEAST_WORDS, LONG_LINE, PASSAGE_WORDS, WINDOW, Rules, dedup_lines
 
 from .util import ALL_IDS, documents, ids
 
 MASK = (1 << 64) - 1
 
 
-def chunks(text):
-    """Chunks by a plain loop: (text, may be removed)."""
+def counted(text):
+    """Lines, and words of each; a blank line has none."""
     lines = text.split("\n")
+    return lines, [x.strip(" ").count(" ") + 1 if x.strip(" ") else 0 for x in lines]
+
+
+def chunks(text):
+    """Chunks by a plain loop: (first line, lines, may be removed)."""
+    lines, words = counted(text)
     hashes = [xxhash.xxh64_intdigest(x.encode(), seed=42) for x in lines]
-    words = [x.strip(" ").count(" ") + 1 for x in lines]
     out, run = [], []
     for at in range(len(lines)):
         run.append(at)
@@ -26,17 +31,45 @@ def chunks(text):
         mixed -= (mixed >> 63) << 64
         if at == len(lines) - 1 or words[at] >= LONG_LINE or words[at + 1] >= LONG_LINE or mixed % DIVISOR == 0:
             total = sum(words[i] for i in run)
-            out.append(("\n".join(lines[i] for i in run), len(run) > 1 and total >= LEAST_WORDS or total >= LONG_LINE))
+            out.append((run[0], len(run), len(run) > 1 and total >= LEAST_WORDS or total >= LONG_LINE))
             run = []
     return out
 
 
+def passages(text):
+    """(first line, lines) of the least runs of short lines with PASSAGE_WORDS, from each line on and from each line back."""
+    _, words = counted(text)
+    found = set()
+    for begin in range(len(words)):
+        for step in (1, -1):
+            total, at = 0, begin
+            while words[begin] and 0 <= at < len(words) and words[at] < LONG_LINE:
+                total += words[at]
+                if total >= PASSAGE_WORDS:
+                    found.add((min(begin, at), abs(at - begin) + 1))
+                    break
+                at += step
+    return found
+
+
 def brute(rows):
-    first = {}
-    for i, t in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
-        for at, (c, _) in enumerate(chunks(t)):
-            first.setdefault(c, (i, at))
-    return {i: "\n".join(c for at, (c, counts) in enumerate(chunks(t)) if not counts or first[c] == (i, at)) for i, t in rows if t is not None}
+    """Texts without the lines of repeated chunks and passages, by a plain loop; of equal ones the first stays with what it overlaps."""
+    first, units = {}, {}
+    for i, text in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
+        lines = text.split("\n")
+        units[i] = [("chunk", s, n) for s, n, may in chunks(text) if may] + [("passage", s, n) for s, n in passages(text)]
+        for kind, start, n in sorted(units[i], key=lambda u: u[1]):
+            first.setdefault((kind, "\n".join(lines[start : start + n])), (i, start))
+    out = {}
+    for i, text in rows:
+        if text is not None:
+            lines, gone = text.split("\n"), set()
+            for kind, start, n in units[i]:
+                doc, at = first[kind, "\n".join(lines[start : start + n])]
+                if doc != i or start >= at + n:
+                    gone.update(range(start, start + n))
+            out[i] = "\n".join(line for at, line in enumerate(lines) if at not in gone)
+    return out
 
 
 def test_against_brute_force(spark):
@@ -106,3 +139,24 @@ def test_a_passage_within_its_own_text(spark):
     got = {r.doc_id: r for r in dedup_lines(documents(spark, [(1, text, None), *((*r, None) for r in blanks)])).collect()}
     assert got[1].text == "\n".join([one] * 5) and got[1].removed_lines == 15 and got[1].copies_of == [1]
     assert {i: got[i].text for i, _ in blanks} == brute(blanks)
+
+
+def test_a_short_repeat_of_two_lines(spark):
+    """Two lines of a word each are a repeat like any; blank lines alone never are, and `least_words` can ask for more."""
+    rng = random.Random(3)
+    alone = lambda: " ".join(f"w{rng.randrange(10**9)}" for _ in range(60))
+    rows = [(i, f"{alone()}\nyes\nno\n{alone()}") for i in range(20)] + [(i, f"{alone()}\n\n\n{alone()}") for i in (100, 101)]
+    df = documents(spark, [(*r, None) for r in rows])
+    got = {r.doc_id: r.text for r in dedup_lines(df).collect()}
+    assert got == brute(rows)
+    whole = [i for i, t in rows if any((s, n) == (1, 2) for s, n, _ in chunks(t)) and i < 20]  # no boundary falls between the two
+    assert len(whole) > 2 and [i for i in whole if "yes" in got[i]] == whole[:1]
+    assert {r.doc_id: r.text for r in dedup_lines(df, rules=Rules(least_words=3)).collect()} == dict(rows)
+
+
+def test_a_hot_chunk(spark):
+    """A passage in two thirds of many rows, with some bytes longer than others."""
+    passage = "\n".join(" ".join(f"p{i}x{j}" for j in range(20)) for i in range(4))
+    rows = [(i, f"only{i} a b c\n{passage}" if i % 3 else f"only{i} d e f\ng{i}") for i in range(3600)]
+    got = {r.doc_id: r.text for r in dedup_lines(documents(spark, [(*r, None) for r in rows])).collect()}
+    assert got == brute(rows)
