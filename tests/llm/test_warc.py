@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 
 import pytest
 import zstandard
@@ -61,3 +63,31 @@ def test_broken_archives_are_refused():
     for broken in (data[:-3], data[:40], data[:-1] + b"x", data + b"junk"):
         with pytest.raises(WarcError):
             list(read_archive(broken))
+
+
+def test_reading_takes_time_in_proportion():
+    """Eight times the frames take about eight times as long; a reader that copies the rest for each takes 64 times."""
+    record = render("urn:page:1", "response", "http://a", random.Random(1).randbytes(1500), None)
+    writer = ArchiveWriter(b"WARC/1.1")
+    seconds = []
+    for frames in (2_700, 21_600):  # some 4 and 32 MiB
+        while len(writer) < frames * 1500:
+            writer.add(record)
+        began = time.perf_counter()
+        assert sum(1 for _ in read_archive(writer.out.getvalue())) > frames // 2
+        seconds.append(time.perf_counter() - began)
+    assert seconds[1] < 20 * max(seconds[0], 0.01)
+
+
+def test_a_hot_payload(spark):
+    rows = [(i, f"http://a/{i}", "<p>gone</p>" if i % 3 else f"<p>{i}</p>") for i in range(4000)]
+    got = {r.page_id: r for r in archive_round_trip(pages(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    assert all((got[i].record_type, got[i].refers_to) == (("revisit", 3998) if i % 3 and i != 3998 else ("response", None)) for i in got)
+    assert all(r.payload_bytes == len(rows[i][2]) and (r.payload is None) == (r.record_type == "revisit") for i, r in got.items())
+
+
+def test_other_skippable_frames_are_passed_over():
+    note = (0x184D2A53).to_bytes(4, "little") + (5).to_bytes(4, "little") + b"notes"
+    data = archive([RECORD])
+    assert len(list(read_archive(data + note + data[len(archive([])) :]))) == 2
