@@ -13,17 +13,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small
-from .empirical_bayes import shrink
+from .common import KeyFilter, materialise, small, spread_join
+from .empirical_bayes import above, shrink
 from .shingles import texts_of
 
 #: The classifier is fitted on at most so many labelled rows, those of smallest hashed id.
 TRAIN_ROWS = 8_000
-#: At most so many word features; each in LEAST_ROWS rows, PURITY of them toxic, and by CHANCE deviations more than usual.
-WORD_FEATURES, LEAST_ROWS, PURITY, CHANCE = 5_000, 12, 0.95, 8.0
+#: A word feature is in LEAST_ROWS rows of the sample, PURITY of them toxic, and by CHANCE deviations more than usual.
+LEAST_ROWS, PURITY, CHANCE = 12, 0.95, 8.0
 #: Documents are rejected from this posterior probability of being bad.
 REJECT = 0.5
 
+#: Scores are summed in whole parts of so many.
+MILLION = 1_000_000
+
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,'-|")
 _EDGES = b".,;:!?\"'()[]{}<>*#$%&|"
@@ -33,7 +36,7 @@ _QUANTILES = (0.01, 0.03, 0.06, 0.12, 0.25, 0.5, 0.75, 0.88, 0.94, 0.97, 0.99)
 def word_features(word: bytes) -> list[str]:
     """The word without marks at its ends, and its beginnings; whole characters."""
     core = word.strip(_EDGES).decode("utf-8", "replace")
-    return [core, *(core[:n] + "~" for n in (4, 5, 6) if len(core) > n)] if len(core) > 3 else []
+    return [core, *(core[:n] + "~" for n in (4, 5, 6) if len(core) > n)] if core else []
 
 
 def _shape(data: bytes, words: list[bytes]) -> list[float]:
@@ -59,7 +62,7 @@ class Classifier:
 
     @cached_property
     def heads(self) -> set[bytes]:
-        """The first four bytes of every feature; all have that many characters at least."""
+        """The first four bytes of every feature; a shorter one has only its own."""
         return {x.encode()[:4] for x in self.words}
 
     def features(self, data: bytes) -> list[float]:
@@ -129,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body")).join(F.broadcast(sample), "id")  # at most TRAIN_ROWS
     rows = materialise(rows.select("body", F.col("toxic").cast("int").alias("toxic"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad")), "sample")
     total, toxic, bad = rows.agg(F.count("*"), F.sum("toxic"), F.sum("bad")).first()
-    base = ((bad or 0) + 1) / (total + 2)
+    base = (bad + 1) / (total + 2) if total else 0.0  # nothing known, nothing rejected
     if not bad or bad == total:
         return Classifier({}, [], [], base)
     rate = (toxic + 1) / (total + 2)
@@ -137,8 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
         F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     chance = (F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
     chosen = counts.where((F.col("n") >= LEAST_ROWS) & (F.col("toxic") >= PURITY * F.col("n")) & (chance >= CHANCE))
-    words = {r.feature: math.log((r.toxic + 0.5) / (r.n - r.toxic + 0.5) * (1 - rate) / rate)
-             for r in chosen.orderBy(F.desc(chance), "feature").limit(WORD_FEATURES).collect()}
+    words = {r.feature: math.log((r.toxic + 0.5) / (r.n - r.toxic + 0.5) * (1 - rate) / rate) for r in chosen.orderBy("feature").collect()}
     model = Classifier(words, [], [], base)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,41 +169,102 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
+def _inside(p: Column) -> Column:
+    return F.least(F.greatest(p, F.lit(1 / MILLION)), F.lit(1 - 1 / MILLION))
+
+
+def _millionths() -> Column:
+    return F.round(_inside(F.col("__fw_p")) * MILLION).cast("long")
+
+
+def site_posteriors(scored: DataFrame) -> DataFrame:
+    """What the posteriors of each site need: sums and prior strengths, a row a (__fw_host, __fw_path), written.
+
+    Sums of __fw_p are of millionths of a document, so they don't depend on the order of addition; they are
+    aggregated before the shuffle, and a host with a third of the rows is a row a task for each path.
+    """
+    host = "__fw_host"
+    paths = scored.select(host, "__fw_path", _millionths().alias("p")).groupBy(host, "__fw_path").agg(
+        F.count("*").alias("n"), (F.sum("p") / MILLION).alias("bad"))
+    paths = materialise(paths, "paths")
+    hosts = materialise(above(paths, [host]).withColumn("all", F.lit(1)), "hosts")
+    whole = materialise(above(hosts, ["all"]).withColumn("mean", (F.col("bad") + 0.5) / (F.col("n") + 1)), "whole")
+    hosts = materialise(shrink(hosts, whole, "all"), "host-posteriors")
+    paths = materialise(shrink(paths, hosts, host), "path-posteriors")
+    paths = paths.select(host, "__fw_path", *(F.col(c).alias(f"__fw_{c}") for c in ("n", "bad", "k")))
+    hosts = hosts.select(host, "rows", *(F.col(c).alias(f"__fw_host_{c}") for c in ("n", "bad", "k")))
+    out = spread_join(paths, hosts, [host], "rows").crossJoin(F.broadcast(whole.select(F.col("mean").alias("__fw_whole"))))  # one row
+    return materialise(out, "posteriors")
+
+
+def _with_posteriors(rows: DataFrame) -> DataFrame:
+    """p_site and p_bad from a row of `site_posteriors`; the document's own score is left out of both levels."""
+    own = _millionths() / MILLION
+
+    def without(level: str, mean: Column) -> Column:
+        n, bad, k = (F.col(f"__fw_{level}{c}") for c in ("n", "bad", "k"))
+        return (mean * k + F.greatest(bad - own, F.lit(0.0))) / (k + n - 1)
+
+    rows = rows.withColumn("p_site", _inside(without("", without("host_", F.col("__fw_whole")))))
+    odds = _logit(_inside(F.col("__fw_p"))) + _logit(F.col("p_site")) - _logit(F.col("__fw_whole"))
+    return rows.withColumn("p_bad", 1 / (1 + F.exp(-odds)))
+
+
+def _scored(docs: DataFrame, labels: DataFrame, text: str, id_col: str, host: str, path: str, columns: list[str]) -> DataFrame:
+    """The named columns of `docs` with score, site and a number a row, written: texts are scored once."""
+    score = scorer(train(docs, labels, text, id_col))
+    site = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((host, "__fw_host"), (path, "__fw_path"))]
+    return materialise(docs.select(*columns, *site, score(F.col(text)).alias("__fw_p"), F.monotonically_increasing_id().alias("__fw_row")), "scored")
+
+
+def _with_site(scored: DataFrame, posts: DataFrame) -> DataFrame:
+    both, short = ["__fw_host", "__fw_path"], small(posts)
+    return scored.join(short, both) if short is not posts else spread_join(scored, posts.withColumn("__fw_rows", F.col("__fw_n")), both, "__fw_rows")
+
+
 def score_documents(
-    docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", host: str = "source", path: str = "lang"
+    docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", host: str = "source", path: str = "lang",
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """`docs` with p_document, p_site and p_bad.
+    """`columns` of `docs` (all unless given) with p_document, p_site and p_bad.
 
     p_document is the classifier's probability that the text is bad (of low quality, or toxic). Its sums
     over all documents, by host and by path within the host, go through beta-binomial shrinkage: a path
-    towards its host, a host towards the corpus, the more the sparser they are; p_site is the path's
-    posterior mean. p_bad replaces the corpus's odds, which the classifier holds as its prior, by the path's.
+    towards its host, a host towards the corpus, the more the sparser they are. p_site is the posterior mean of
+    the document's path from all other documents: its own score is left out of path and host, so that a
+    lone document doesn't confirm itself. p_bad replaces the corpus's odds, which the classifier holds as its
+    prior, by those of p_site.
 
-    The sums are rounded to millionths of a document, so they don't depend on the order of addition; they
-    are aggregated before the shuffle, and a host with a third of the rows is one row a task. The table of
-    paths is broadcast only if it is short.
+    Texts are scored once, and written with their scores. The table of paths is broadcast if it is short; else
+    the rows are joined to it, those of hot paths dealt to many tasks. Ask for narrow `columns` then.
 
     Nulls: a null text counts as empty; null hosts and paths are sites of their own, shared with empty
     ones. Without usable labels every document gets the same p_document. Labels that repeat an id count
-    each. Other columns pass through; the three names replace columns of these names.
+    each, and rows that repeat an id are rows each. A very long text is scored whole. Empty tables give empty
+    results. Other columns pass through; the three names replace columns of these names.
     """
-    score = scorer(train(docs, labels, text, id_col))
     docs = docs.drop("p_document", "p_site", "p_bad")
-    scored = docs.withColumn("p_document", score(F.col(text)))
-    site = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((host, "__fw_host"), (path, "__fw_path"))]
-    p = F.least(F.greatest("p_document", F.lit(1e-6)), F.lit(1 - 1e-6))
-    paths = scored.select(*site, F.round(p * 1_000_000).cast("long").alias("p")).groupBy("__fw_host", "__fw_path").agg(
-        F.count("*").alias("n"), (F.sum("p") / 1_000_000).alias("bad"))
-    paths = materialise(paths.withColumn("all", F.lit(1)), "paths")
-    hosts = paths.groupBy("__fw_host", "all").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    whole = hosts.groupBy("all").agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1)).alias("mean"))
-    posts = shrink(paths.drop("all"), shrink(hosts, whole, "all"), "__fw_host").crossJoin(F.broadcast(whole.select(F.col("mean").alias("__fw_whole"))))  # one row
-    posts = materialise(posts.select("__fw_host", "__fw_path", F.col("mean").alias("p_site"), "__fw_whole"), "posteriors")
-    joined = scored.select("*", *site).join(small(posts), ["__fw_host", "__fw_path"], "left")
-    odds = _logit(p) + _logit(F.col("p_site")) - _logit(F.col("__fw_whole"))
-    return joined.withColumn("p_bad", 1 / (1 + F.exp(-odds))).drop("__fw_host", "__fw_path", "__fw_whole")
-
-
-def filter_quality(docs: DataFrame, labels: DataFrame, **names) -> DataFrame:
-    """The rows of `docs` below REJECT, with their probabilities; see `score_documents`."""
-    return score_documents(docs, labels, **names).where(F.col("p_bad") < REJECT)
+    columns = columns or docs.columns
+    scored = _scored(docs, labels, text, id_col, host, path, columns)
+    rows = _with_posteriors(_with_site(scored, site_posteriors(scored)))
+    return rows.select(*columns, F.col("__fw_p").alias("p_document"), "p_site", "p_bad")
+
+
+def filter_quality(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", host: str = "source", path: str = "lang") -> DataFrame:
+    """The rows of `docs` whose p_bad is below REJECT, as they are; see `score_documents`.
+
+    Where the table of paths is too long to broadcast, the verdicts are found without the documents, and a key
+    filter over the rejected rows' numbers says which documents have to meet them; the others stay where they are.
+    """
+    scored = _scored(docs, labels, text, id_col, host, path, docs.columns)
+    posts = site_posteriors(scored)
+    added = ["__fw_p", "__fw_host", "__fw_path"]
+    if small(posts) is not posts:
+        rows = _with_posteriors(_with_site(scored.select(F.struct(*docs.columns).alias("__fw_doc"), *added), posts))
+        return rows.where(F.col("p_bad") < REJECT).select(*(F.col("__fw_doc").getField(c).alias(c) for c in docs.columns))
+    judged = _with_posteriors(_with_site(scored.select("__fw_row", *added), posts))
+    gone = materialise(judged.where(F.col("p_bad") >= REJECT).select("__fw_row"), "rejected")
+    key = F.xxhash64("__fw_row")
+    flagged = KeyFilter(gone.select(key.alias("key")), "key").flag(scored, key, "__fw_may")
+    rest = flagged.where("__fw_may").join(gone, "__fw_row", "left_anti")
+    return flagged.where("not __fw_may").select(*docs.columns).unionByName(rest.select(*docs.columns))

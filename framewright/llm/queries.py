@@ -14,7 +14,7 @@ from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .ngram_join import OP10_SQL, ngram_components
 from .packing import pack
-from .quality import filter_quality
+from .quality import REJECT, score_documents
 from .sharding import shard_table
 from .url_filter import OP7_SQL, filter_urls, page_outcomes
 from .warc import OP4_SQL, archive_round_trip
@@ -22,8 +22,8 @@ from .warc import OP4_SQL, archive_round_trip
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that stay, with their probabilities of being bad."""
-    kept = filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return kept.select("doc_id", "p_document", "p_site", "p_bad", F.lit(True).alias("kept"))
+    scored = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), columns=["doc_id"])
+    return scored.where(F.col("p_bad") < REJECT).withColumn("kept", F.lit(True))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = archive_round_trip(table(spark, sf_dir, "pages"))
+    records = archive_round_trip(table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

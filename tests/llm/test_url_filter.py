@@ -1,6 +1,9 @@
+import numpy as np
 import pytest
 
-from framewright.llm.url_filter import filter_urls, page_outcomes
+from pyspark.sql import functions as F
+
+from framewright.llm.url_filter import beta_share, filter_urls, page_outcomes, site_of
 
 
 def verdicts(spark, rows, outcomes):
@@ -57,3 +60,33 @@ def test_empty(spark):
 @pytest.mark.parametrize("host", ["", "localhost"])
 def test_short_hosts(spark, host):
     assert verdicts(spark, [(1, f"http://{host}/x")], [(1, 1)])[0].verdict in ("allow", "block")
+
+
+def test_sites_domains_and_suffixes(spark):
+    cases = {
+        "a.b.example.co.uk": ("a.b.example.co.uk", "example.co.uk", "co.uk"), "x.example.com": ("x.example.com", "example.com", "com"),
+        "me:pw@x.org:8080": ("x.org", "x.org", "org"), "1.2.3.4:80": ("1.2.3.4", "1.2.3.4", "1.2.3.4"), "[::1]:80": ("[::1]",) * 3,
+        "co.uk": ("co.uk", "co.uk", "co.uk"), "acme.uk": ("acme.uk", "acme.uk", "uk"), "x.com.": ("x.com", "x.com", "com"), "": ("", "", ""),
+    }
+    df = spark.createDataFrame([(h,) for h in cases], "h string")
+    got = df.select("h", *(c.alias(n) for c, n in zip(site_of(F.col("h")), "sdp"))).collect()
+    assert {r.h: (r.s, r.d, r.p) for r in got} == cases
+
+
+def test_the_posterior_share_against_a_sum(spark):
+    def by_sum(a, b, x, n=200_000):
+        grid = (np.arange(n) + 0.5) / n
+        logs = (a - 1) * np.log(grid) + (b - 1) * np.log1p(-grid)
+        weights = np.exp(logs - logs.max())
+        return weights[grid < x].sum() / weights.sum()
+
+    cases = [(1.0, 1.0), (2.5, 7.5), (40.0, 60.0), (1.2, 300.0), (900.0, 2000.0), (3000.0, 7010.0), (14_800.0, 35_100.0), (80.0, 2.0)]
+    df = spark.createDataFrame(cases, "a double, b double")
+    for r in df.select("a", "b", beta_share(F.col("a"), F.col("b"), 0.3).alias("s")).collect():
+        assert abs(r.s - by_sum(r.a, r.b, 0.3)) < 1e-4, r
+
+
+def test_a_very_long_url(spark):
+    long = "http://long.example.org/" + "x/" * 200_000
+    got = verdicts(spark, [(1, long), (2, "http://" + "a." * 20_000 + "org/")], [(1, 0)])
+    assert {(r.page_id, len(r.path), len(r.host)) for r in got} == {(1, 400_001, 16), (2, 1, 40_003)}
