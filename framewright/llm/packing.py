@@ -23,7 +23,7 @@ from .shingles import slices
 
 #: Tokens of a sequence, sequences of a window, the id after each document.
 SEQUENCE, WINDOW_SEQUENCES, END_ID = 2048, 64, 1
-#: More sources than this share so many queues by hash.
+#: Default bound on queues; sources with a stated share always have their own.
 MAX_QUEUES = 4_096
 #: Pieces between spaces, and words, that a task remembers.
 PIECES_HELD = 500_000
@@ -139,41 +139,57 @@ class Schedule:
     Queue s sends its t-th token at virtual time (t + 1/2) / rate[s]; windows take tokens in that order,
     ties by queue. This is deficit round-robin with the deficits in closed form: after every window a queue
     is within a token or so of its share, what it lacks is owed to it in the next window, and any task
-    can compute any window without the ones before. When a queue runs dry the others share its part.
+    can compute any window without the ones before. When a queue runs dry the others share its part. Queues
+    of rate 0 have no share while others last; they follow in proportion to their sizes.
     """
 
     def __init__(self, totals: list[int], rates: list[int], window: int):
-        self.totals, self.rates, self.window, self.all = totals, rates, window, sum(totals)
+        if any(r < 0 for r in rates):
+            raise ValueError("a share is 0 at least")
+        self.totals, self.window, self.all = totals, window, sum(totals)
+        first = [s for s, r in enumerate(rates) if r]
+        later = [s for s, r in enumerate(rates) if not r]
+        self.turns = [([totals[s] for s in first], [rates[s] for s in first], first), ([totals[s] for s in later], [totals[s] for s in later], later)]
         self.cache: dict[int, list[int]] = {}
 
-    def _at(self, num: int, den: int) -> list[int]:
-        return [min(t, (2 * r * num + den) // (2 * den)) for t, r in zip(self.totals, self.rates, strict=True)]
-
     def served(self, w: int) -> list[int]:
         if w not in self.cache:
             if len(self.cache) > 64:
                 self.cache.clear()
-            self.cache[w] = self._served(min(w * self.window, self.all))
+            x, out = min(w * self.window, self.all), [0] * len(self.totals)
+            for totals, rates, queues in self.turns:
+                part = min(x, sum(totals))
+                for s, n in zip(queues, self._served(part, totals, rates), strict=True):
+                    out[s] = n
+                x -= part
+            self.cache[w] = out
         return self.cache[w]
 
-    def _served(self, x: int) -> list[int]:
-        if x == self.all:
-            return list(self.totals)
-        den = max(self.rates) << 8  # a step of 1 / den moves no queue by more than a token
-        low, high = 0, den * (max(-(-t // r) for t, r in zip(self.totals, self.rates, strict=True)) + 1)
+    @staticmethod
+    def _served(x: int, totals: list[int], rates: list[int]) -> list[int]:
+        if x == sum(totals):
+            return list(totals)
+        if x == 0:
+            return [0] * len(totals)
+
+        def at(num: int) -> list[int]:
+            return [min(t, (2 * r * num + den) // (2 * den)) for t, r in zip(totals, rates, strict=True)]
+
+        den = max(rates) << 8  # a step of 1 / den moves no queue by more than a token
+        low, high = 0, den * (max(-(-t // r) for t, r in zip(totals, rates, strict=True)) + 1)
         while high - low > 1:
             mid = (low + high) // 2
-            low, high = (mid, high) if sum(self._at(mid, den)) <= x else (low, mid)
-        out = self._at(low, den)
+            low, high = (mid, high) if sum(at(mid)) <= x else (low, mid)
+        out = at(low)
         lack = x - sum(out)
         if lack:
-            due = [(Fraction(2 * c + 1, r), s) for s, (c, r, t) in enumerate(zip(out, self.rates, self.totals, strict=True)) if c < t]
+            due = [(Fraction(2 * c + 1, r), s) for s, (c, r, t) in enumerate(zip(out, rates, totals, strict=True)) if c < t]
             heapq.heapify(due)
             for _ in range(lack):
                 _, s = heapq.heappop(due)
                 out[s] += 1
-                if out[s] < self.totals[s]:
-                    heapq.heappush(due, (Fraction(2 * out[s] + 1, self.rates[s]), s))
+                if out[s] < totals[s]:
+                    heapq.heappush(due, (Fraction(2 * out[s] + 1, rates[s]), s))
         return out
 
     def place(self, queue: int, at: int) -> tuple[int, int]:
@@ -191,9 +207,20 @@ class Schedule:
         return position, after[queue] - at
 
 
+#: The tokenizer of a Python worker, kept from task to task with the words it has met.
+_kept: dict[str, WordTokenizer] = {}
+
+
+def _tokenizer(path: str) -> WordTokenizer:
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = WordTokenizer(path)
+    return _kept[path]
+
+
 def _tokens(path: str, end_id: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, block, sums = WordTokenizer(path), TaskContext.get().partitionId(), {}
+        tokenizer, block, sums = _tokenizer(path), TaskContext.get().partitionId(), {}
         width = np.dtype(tokenizer.width).itemsize
         end = np.array([end_id], tokenizer.width).tobytes()
         for batch in slices(batches):
@@ -236,29 +263,42 @@ def _cut(queues: list[str], schedule: Schedule, sequence: int, id_type: pa.DataT
 
 def pack(
     docs: DataFrame, tokenizer: str, shares: dict[str, int] | None = None, text: str = "text", id_col: str = "doc_id",
-    source: str = "source", sequence: int = SEQUENCE, window_sequences: int = WINDOW_SEQUENCES, end_id: int = END_ID,
+    source: str = "source", sequence: int = SEQUENCE, window_sequences: int = WINDOW_SEQUENCES, end_id: int = END_ID, max_queues: int = MAX_QUEUES,
 ) -> DataFrame:
     """Pieces of documents in sequences: id, start, length, doc_tokens, sequence_id, offset, ids.
 
     A document is its ids by the tokenizer file `tokenizer`, without special tokens, then `end_id`. Each
-    source is a queue. A window is `window_sequences` sequences; its tokens are dealt to the queues by
-    `Schedule`, in proportion to `shares` (source to whole-number weight) or else to the queues' sizes, so
-    that every window has the corpus's mixture to the token. A queue's part of a window is one run in it, and
-    runs follow one another without gaps, so only the very last sequence can need padding. Documents are
-    cut at the ends of sequences and of runs, nowhere else. `ids` are little-endian unsigned 32-bit.
+    source is a queue. A window is `window_sequences` sequences, and one a queue at least, so that a queue's part
+    of it doesn't shrink to slivers. Its tokens are dealt to the queues by `Schedule`, in proportion to
+    `shares` (source to whole-number weight; 0: after all others; 1 for sources not in it) or else to the
+    queues' sizes, so that every window has the mixture to the token. A queue's part of a window is one run
+    in it, and runs follow one another without gaps, so only the very last sequence can need padding.
+    Documents are cut at the ends of sequences and of runs, nowhere else. `ids` are little-endian unsigned
+    32-bit.
 
     Token ids are written once to the shared folder, each task's rows with running sums for its queues; the
     place of every token follows from these, the sums over tasks (a row a task and queue) and the queue
     sizes. So a hot source is not one task, nothing is sorted, and token ids are never shuffled unless the
-    table of sums is too long to broadcast. More than MAX_QUEUES sources share that many queues by hash.
+    table of sums is too long to broadcast.
+
+    Sources with a stated share always have a queue of their own. If the sources are more than `max_queues`,
+    those without one are dealt by hash to so many queues, whose weight is the number of their sources (or
+    their size); the mixture is then held to the token between queues, within one only on average.
 
     Nulls: a null text is empty and gets the end id only; a null source is the queue of empty sources.
-    Rows that repeat an id are packed each. Weights not in `shares` count as 1. Empty tables give no pieces.
+    Rows that repeat an id are packed each. A very long text is cut like any. Empty tables give no pieces.
+    Columns besides the three are not looked at, whatever their names.
     """
-    queue = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), queue.alias("queue"), F.col(text).alias("body"))
-    if rows.select("queue").distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        rows = rows.withColumn("queue", F.pmod(F.xxhash64("queue"), F.lit(MAX_QUEUES)).cast("string"))
+    name = F.coalesce(F.col(source).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), F.concat(F.lit("="), name).alias("queue"), F.col(text).alias("body"))
+    weights = {f"={k}": w for k, w in (shares or {}).items()}
+    sources = materialise(rows.groupBy("queue").agg(F.count("*").alias("rows")), "sources")
+    if sources.limit(max_queues + 1).count() > max_queues:
+        bucket = F.concat(F.lit("#"), F.pmod(F.xxhash64("queue"), F.lit(max_queues)).cast("string"))
+        rest = ~F.col("queue").isin(list(weights)) if weights else F.lit(True)
+        members = sources.where(rest).groupBy(bucket.alias("queue")).agg(F.count("*").alias("n"))
+        weights |= {r.queue: r.n for r in members.collect()}  # at most max_queues
+        rows = rows.withColumn("queue", F.when(rest, bucket).otherwise(F.col("queue")))
     kind = docs.schema[id_col].dataType
     name = kind.simpleString()
     tokens = materialise(rows.mapInArrow(
@@ -266,14 +306,14 @@ def pack(
     sums = tokens.groupBy("queue", "block").agg(F.sum("n").alias("n"))
     running = F.sum("n").over(Window.partitionBy("queue").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
     sums = materialise(sums.select("queue", "block", "n", running.alias("base")), "sums")
-    totals = {r.queue: r.n for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # at most MAX_QUEUES
+    totals = {r.queue: r.n for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # max_queues and the stated ones at most
     queues = sorted(totals)
     sizes = [totals[q] for q in queues]
-    schedule = Schedule(sizes, [max(1, shares.get(q, 1)) for q in queues] if shares else sizes, sequence * window_sequences)
+    rates = [weights.get(q, 1) for q in queues] if shares else sizes
+    schedule = Schedule(sizes, rates, sequence * max(window_sequences, len(queues)))
     placed = tokens.join(small(sums.select("queue", "block", "base")), ["queue", "block"]).select(
         "id", "queue", (F.col("base") + F.col("before")).alias("begin"), "n", "ids")
     out = placed.mapInArrow(
         _cut(queues, schedule, sequence, to_arrow_type(kind)),
         f"id {name}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
     return out.withColumnRenamed("id", id_col)
-

@@ -86,11 +86,56 @@ def test_round_trip(spark, reference):
     assert got.c == zlib.crc32(got.ids)
 
 
-def test_many_sources_share_queues(spark, reference, monkeypatch):
-    monkeypatch.setattr(packing, "MAX_QUEUES", 5)
-    rows = [(i, "text " * (i % 40), f"s{i}") for i in range(80)]
+def tokens_by_source(rows, pieces, sequences):
+    source, out = {i: s for i, _, s in rows}, defaultdict(int)
+    for p in pieces:
+        if p.sequence_id in sequences:
+            out[source[p.doc_id]] += p.length
+    return out
+
+
+@pytest.mark.parametrize("max_queues", [4096, 5])
+def test_stated_shares_hold_with_many_other_sources(spark, reference, max_queues):
+    """8 : 1 : 1 among the named ones, and 1 for each of the others, in a queue of its own or in one of a few."""
+    rows = [(i, "text " * (i % 40), f"s{i}") for i in range(80)] + [(1000 + i, "alpha beta " * 200, "abc"[i % 3]) for i in range(90)]
+    df = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    shares = {"a": 80, "b": 10, "c": 10, **{f"s{i}": 0 for i in range(40)}}
+    pieces = pack(df, tokenizer_file(), shares, sequence=100, window_sequences=3, max_queues=max_queues).collect()
+    check([r[:2] for r in rows], pieces, reference, 100)
+    window = max(3, len({p[2] for p in rows}) if max_queues > 100 else 3 + 40 + 5)
+    got = tokens_by_source(rows, pieces, range(window))
+    assert abs(got["a"] - 8 * got["b"]) <= 9 and abs(got["b"] - got["c"]) <= 1 and got["b"]
+    assert not any(got[f"s{i}"] for i in range(40)) and any(got[f"s{i}"] for i in range(40, 80))
+
+
+def test_a_share_of_nothing_comes_last(spark, reference):
+    rows = [(i, "word " * 300, "abc"[i % 3]) for i in range(60)]
     df = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    check([r[:2] for r in rows], pack(df, tokenizer_file()).collect(), reference)
+    pieces = pack(df, tokenizer_file(), {"a": 0}, window_sequences=1, sequence=512).collect()
+    check([r[:2] for r in rows], pieces, reference, 512)
+    whole = 40 * 301 // (3 * 512) * 3  # sequences of windows of three, one a queue
+    assert tokens_by_source(rows, pieces, range(whole))["a"] == 0
+    with pytest.raises(ValueError):
+        pack(df, tokenizer_file(), {"a": -1})
+
+
+def test_schedule_is_a_deficit_round_robin():
+    """Against the literal algorithm: every window credits each queue its part, serves whole tokens, and carries what is left."""
+    rng = random.Random(8)
+    for _ in range(60):
+        rates = [rng.randint(1, 30) for _ in range(rng.randint(2, 6))]
+        window = rng.randint(20, 400)
+        totals = [10_000 * r for r in rates]  # none runs dry here
+        schedule, deficit, served = Schedule(totals, rates, window), [Fraction(0)] * len(rates), [0] * len(rates)
+        for w in range(1, 30):
+            deficit = [d + Fraction(window * r, sum(rates)) for d, r in zip(deficit, rates, strict=True)]
+            send = [int(d) for d in deficit]
+            for s in sorted(range(len(rates)), key=lambda s: (send[s] - deficit[s], s))[: window - sum(send)]:
+                send[s] += 1  # the window is filled by those to whom most is owed
+            deficit = [d - n for d, n in zip(deficit, send, strict=True)]
+            served = [a + n for a, n in zip(served, send, strict=True)]
+            assert sum(served) == w * window == sum(schedule.served(w))
+            assert all(abs(a - b) <= 1 for a, b in zip(served, schedule.served(w), strict=True))
 
 
 def test_hard_cases(spark, reference):
