@@ -12,8 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 #: Edits allowed, as a share of an item's characters; items of fewer characters allow none and must be whole words.
 ERROR_RATE, LEAST_CHARS = 0.05, 24
-#: So many items are held by a task at once, in expectation; a larger benchmark takes several passes.
-BLOCK_ITEMS = 20_000
+#: So many items, and characters of items, are held by a task at once, in expectation; a larger benchmark takes several passes.
+BLOCK_ITEMS, BLOCK_CHARS = 20_000, 8_000_000
 
 
 def normalise(text: str | None) -> str:
@@ -112,12 +112,13 @@ def _holds_none(matcher):
     return clean
 
 
-def blocks_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[list[tuple]]:
-    """The benchmark, a stated set of queries, in blocks of bounded expected size."""
+def blocks_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[list[tuple]]:
+    """The benchmark, a stated set of queries, in blocks of bounded expected size; one block is read at a time."""
     rows = benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").distinct()
-    n = rows.count()
-    count = max(1, -(-n // BLOCK_ITEMS))
-    return [[tuple(r) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == b).collect()] for b in range(count)]
+    n, chars = rows.agg(F.count("*"), F.sum(F.length("t"))).first()
+    count = max(1, -(-n // BLOCK_ITEMS), -(-(chars or 0) // BLOCK_CHARS))
+    for b in range(count):
+        yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == b).collect()]
 
 
 def _shared(spark: SparkSession, items: list[tuple]):
@@ -145,11 +146,12 @@ def find_leaks(
     LEAST_CHARS characters is held if it occurs unchanged and neither end is between two letters or digits.
 
     The scan runs where the rows are; nothing is shuffled. The benchmark is the stated query set; beyond
-    BLOCK_ITEMS items it is taken in blocks, a pass each, so a task's index is bounded.
+    BLOCK_ITEMS items or BLOCK_CHARS characters it is taken in blocks, a pass each, so a task's index is
+    bounded, and so is what the driver holds.
 
     Nulls: null texts hold nothing; null items and items without a character are not looked for.
-    Rows that repeat an id are reported each; so are items that repeat an id with another text. Empty
-    tables give empty results; other columns are not looked at.
+    Rows that repeat an id are reported each; so are items that repeat an id with another text. A very long
+    text is searched whole, by one worker. Empty tables give empty results; other columns are not looked at.
     """
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
     item_type = to_arrow_type(benchmark.schema[item].dataType)

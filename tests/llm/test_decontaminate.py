@@ -67,6 +67,8 @@ def test_against_brute_force(spark, monkeypatch):
     for block in (20_000, 7):
         monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
         assert {(r.doc_id, r.item_id): r.distance for r in find_leaks(frame, questions).collect()} == want
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 900)
+    assert {(r.doc_id, r.item_id): r.distance for r in find_leaks(frame, questions).collect()} == want
     kept = {r.doc_id for r in drop_leaks(frame, questions).collect()}
     assert kept == {d for d, _ in docs} - {d for d, _ in want}
 
