@@ -9,30 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .license_texts import TEMPLATES
 from .shingles import _hashes, slices, texts_of, windows
 
-#: Licence notices in their usual wording.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("proprietary", "All rights reserved."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-     "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
-     "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
-     "persons to whom the Software is furnished to do so, subject to the following conditions"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-     "compliance with the License. You may obtain a copy of the License at"),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-     "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-     "later version."),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-     "following conditions are met"),
-)
-
 #: Words of a shingle; the part of a template's shingles that a window must hold.
 SHINGLE, CONTAINMENT = 3, 0.9
 #: Bands of one MinHash each. A window is at most 3 blocks long for a template of more than 4/3 blocks, or
@@ -128,8 +107,8 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, text: str = "text", id_c
     hold CONTAINMENT of the template's shingles. One row a template: its best window, on ties the first.
 
     `templates` is the stated query set, (licence, wording). Templates without words are never found.
-    Nulls: a null text holds nothing. Rows that repeat an id are reported each. Empty tables give
-    empty results; other columns are not looked at. Nothing is shuffled.
+    Nulls: a null text holds nothing. Rows that repeat an id are reported each. A very long text is scanned
+    whole, by itself. Empty tables give empty results; other columns are not looked at. Nothing is shuffled.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     templates = tuple(templates)

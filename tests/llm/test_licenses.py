@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 from framewright.llm import licenses
 from framewright.llm.licenses import CONTAINMENT, TEMPLATES, scan_licenses
@@ -11,6 +12,8 @@ def brute(text):
     found = set()
     for i, (_, template) in enumerate(TEMPLATES):
         want = set(windows(licenses._words(template.encode()), 3).tolist())
+        if len(want.intersection(shingles.tolist())) < CONTAINMENT * len(want):
+            continue  # not even the whole text holds enough
         for at in range(max(1, len(shingles))):
             if len(want & set(shingles[at : at + len(want)].tolist())) >= CONTAINMENT * len(want) and len(shingles):
                 found.add(i)
@@ -45,3 +48,13 @@ def test_nulls_ties_and_empty(spark):
     out = sorted(str((r.doc_id, r.license, r.containment)) for r in scan_licenses(docs).collect())
     assert out == ["(3, 'proprietary', 1.0)", "(3, 'proprietary', 1.0)", "(None, 'proprietary', 1.0)"]
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_complete_texts(spark):
+    """Every complete text is found, wrapped and with other words around, and so is the notice that it begins with."""
+    whole = [(i, n, t) for i, (n, t) in enumerate(TEMPLATES) if len(t) > 500]
+    assert {"MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "Unlicense", "Apache-2.0", "GPL-3.0"} <= {n for _, n, _ in whole}
+    rows = [(i, "some words before\n" + "\n    ".join(textwrap.wrap(t, 60)) + "\nand after it") for i, _, t in whole]
+    found = {(r.doc_id, r.template) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(i, i) for i, _, _ in whole} <= found
+    assert (11, 7) in found and TEMPLATES[11][0] == "MIT"
