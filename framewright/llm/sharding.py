@@ -5,8 +5,8 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from .common import scratch
 
 #: Shards of a tier differ in size by this factor at most; so many of one tier are merged at once.
 FAN_IN = 4
+#: Every so many versions the manifest is whole; the others say what they add and remove. Merges of one Spark job.
+SNAPSHOT_EVERY, RUNS_A_JOB = 16, 64
 
 
 @dataclass(frozen=True)
@@ -68,8 +70,8 @@ class _Files:
             self.delete(hidden)
             raise ConflictError(name) from error
 
-    def delete(self, name: str) -> None:
-        self.fs(name).delete(self.path(name), False)
+    def delete(self, name: str) -> bool:
+        return self.fs(name).delete(self.path(name), False)
 
 
 class ShardStore:
@@ -80,27 +82,49 @@ class ShardStore:
     comes second gets ConflictError, reads the new manifest and tries again (`append`) or plans anew
     (`compact`). Data files are written by Spark's committer to a folder of their own and are never
     changed; what a failed job leaves is named by no manifest and goes with `vacuum`.
+
+    One version in SNAPSHOT_EVERY lists all shards, the others what they add and remove, so that a commit
+    doesn't rewrite the list. The store needs a file system whose rename refuses an existing name at once,
+    as HDFS and local ones do; object stores without a conditional put need a lock around the commit.
     """
 
     def __init__(self, spark: SparkSession, root: str, target_bytes: int = 512 << 20, fan_in: int = FAN_IN):
         self.spark, self.root, self.target, self.fan_in = spark, root.rstrip("/"), target_bytes, fan_in
-        self.files = _Files(spark)
+        self.files, self.known, self.swept = _Files(spark), {}, 0
         folder = self.files.path(f"{self.root}/manifests")
         folder.getFileSystem(self.files.conf).mkdirs(folder)
 
     def versions(self) -> list[int]:
         return sorted(int(p.rpartition("/")[2][:-5]) for p in self.files.sizes(f"{self.root}/manifests", ".json"))
 
+    def _entry(self, version: int) -> dict:
+        return json.loads(self.files.read(f"{self.root}/manifests/{version:08d}.json"))
+
     def manifest(self, version: int | None = None) -> tuple[int, list[Shard]]:
         """(version, shards); version 0 is empty."""
         version = max(self.versions(), default=0) if version is None else version
-        if not version:
-            return 0, []
-        return version, [Shard(**x) for x in json.loads(self.files.read(f"{self.root}/manifests/{version:08d}.json"))["shards"]]
-
-    def _commit(self, version: int, shards: list[Shard], why: str) -> int:
-        content = json.dumps({"version": version, "why": why, "shards": [asdict(s) for s in sorted(shards, key=lambda s: s.path)]})
-        self.files.create(f"{self.root}/manifests/{version:08d}.json", content)
+        if version and version not in self.known:
+            steps, at = [], version
+            while at and at not in self.known and "shards" not in (entry := self._entry(at)):
+                steps.append(entry)
+                at -= 1
+            whole = [Shard(**x) for x in self._entry(at)["shards"]] if at and at not in self.known else self.known.get(at, [])
+            live = {s.path: s for s in whole}
+            for entry in reversed(steps):
+                for path in entry["remove"]:
+                    live.pop(path, None)
+                live |= {x["path"]: Shard(**x) for x in entry["add"]}
+            if len(self.known) > 2 * SNAPSHOT_EVERY:
+                self.known.clear()
+            self.known[version] = sorted(live.values(), key=lambda s: s.path)
+        return version, list(self.known.get(version, []))
+
+    def _commit(self, version: int, add: list[Shard], remove: set[str], why: str) -> int:
+        """One step on from version - 1."""
+        content: dict = {"version": version, "why": why, "add": [asdict(s) for s in add], "remove": sorted(remove)}
+        if version % SNAPSHOT_EVERY == 1:
+            content["shards"] = [asdict(s) for s in self.manifest(version - 1)[1] if s.path not in remove] + content["add"]
+        self.files.create(f"{self.root}/manifests/{version:08d}.json", json.dumps(content))
         return version
 
     def _found(self, folders: list[str]) -> list[Shard]:
@@ -118,9 +142,9 @@ class ShardStore:
         """Commit written folders as one arrival."""
         shards = self._found(folders)
         while True:
-            version, live = self.manifest()
+            version = max(self.versions(), default=0)
             try:
-                return self._commit(version + 1, live + shards, why)
+                return self._commit(version + 1, shards, set(), why)
             except ConflictError:
                 continue
 
@@ -160,20 +184,18 @@ class ShardStore:
         """One round of merges, committed together; None if there is nothing to merge.
 
         A merge reads its run and writes one file in one task, whose memory is that of a Parquet writer;
-        nothing is shuffled. Merges of a round run side by side.
+        nothing is shuffled. RUNS_A_JOB merges are tasks of one Spark job.
         """
         version, live = self.manifest()
         runs = self.plan(live)
         if not runs:
             return None
-
-        def merge(run: list[Shard]) -> list[str]:
-            folder = f"{self.root}/data/{uuid.uuid4().hex}"
-            self.spark.read.parquet(*(s.path for s in run)).coalesce(1).write.parquet(folder)
-            return [folder]
-
-        with ThreadPoolExecutor(16) as pool:
-            folders = [f for found in pool.map(merge, runs) for f in found]
+        schema = self.spark.read.parquet(runs[0][0].path).schema
+        folders = []
+        for at in range(0, len(runs), RUNS_A_JOB):
+            parts = [self.spark.read.schema(schema).parquet(*(s.path for s in run)).coalesce(1) for run in runs[at : at + RUNS_A_JOB]]
+            folders.append(f"{self.root}/data/{uuid.uuid4().hex}")
+            reduce(DataFrame.union, parts).write.parquet(folders[-1])
         gone = {s.path for r in runs for s in r}
         merged = self._found(folders)
         if sum(s.rows for s in merged) != sum(s.rows for r in runs for s in r):
@@ -182,26 +204,27 @@ class ShardStore:
             if not gone <= {s.path for s in live}:
                 return None  # another compaction was first; its manifest stands
             try:
-                return self._commit(version + 1, [s for s in live if s.path not in gone] + merged, "compact")
+                return self._commit(version + 1, merged, gone, "compact")
             except ConflictError:
                 version, live = self.manifest()
 
     def vacuum(self, keep_versions: int = 1, orphans: bool = False) -> int:
-        """Delete data files that earlier versions name and the last ones don't.
+        """Delete data files that earlier versions name and the last ones don't; returns their number.
 
-        Call it when no reader uses older versions. `orphans` also takes files that no version names, which
-        failed jobs leave; that is only for when no writer is at work.
+        Call it when no reader uses older versions. Only manifests that this store hasn't swept yet are read.
+        `orphans` also takes files that no version names, which failed jobs leave; that lists the folder and
+        is only for when no writer is at work.
         """
         versions = self.versions()
-        named = {s.path: v for v in versions for s in self.manifest(v)[1]}
         used = {s.path for v in versions[-keep_versions:] for s in self.manifest(v)[1]}
-        folder = self.files.path(f"{self.root}/data")
-        fs = folder.getFileSystem(self.files.conf)
-        there = {p for x in (fs.listStatus(folder) if fs.exists(folder) else []) for p in self.files.sizes(str(x.getPath()), ".parquet")}
-        gone = {p for p in there if p not in used and (orphans or p in named)}
-        for p in gone:
-            self.files.delete(p)
-        return len(gone)
+        old = versions[: 1 - keep_versions or None]  # what these removed is out of use
+        gone = {p for v in old if v > self.swept for p in self._entry(v)["remove"]} - used
+        self.swept = max(old, default=0)
+        if orphans:
+            folder = self.files.path(f"{self.root}/data")
+            fs = folder.getFileSystem(self.files.conf)
+            gone |= {p for x in (fs.listStatus(folder) if fs.exists(folder) else []) for p in self.files.sizes(str(x.getPath()), ".parquet")} - used
+        return sum(bool(self.files.delete(p)) for p in gone)
 
     def read(self, version: int | None = None) -> DataFrame | None:
         version, shards = self.manifest(version)
@@ -214,7 +237,7 @@ def shard_table(df: DataFrame, arrivals: int = 4, target_bytes: int = 32 << 20,
     Returns the store and the rows of `df` with shard, shard_rows, shard_bytes and manifest_version. The rows
     are dealt to arrivals by a hash of all their columns in the landing write, which is the only pass over `df`.
 
-    Nulls and long texts are stored as they are, repeated rows are kept. An empty table gives a version
+    Nulls and very long texts are stored as they are, repeated rows are kept. An empty table gives a version
     with the empty shards that Spark wrote, if any, and no rows. Columns named shard, shard_rows,
     shard_bytes or manifest_version are replaced in the result, not in the shards.
     """
