@@ -16,8 +16,8 @@ __all__ = ["KeyFilter", "ascii_lower", "connected_components", "discard", "mater
 BROADCAST_ROWS = 100_000
 #: A key is hot with more than one in HOT_SHARE of all rows, and HOT_ROWS of them; its rows are dealt to SALTS tasks.
 HOT_SHARE, HOT_ROWS, SALTS = 1_000, 1_000, 64
-#: A key filter has so many bits a key, up to a broadcast of 2**28 bits, 32 MiB.
-KEY_BITS, MOST_LOG_BITS = 8, 28
+#: A key filter has so many bits a key, up to a broadcast of 2**29 bits, 64 MiB.
+KEY_BITS, MOST_LOG_BITS = 16, 29
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -60,7 +60,7 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, h
 class KeyFilter:
     """A bitmap over hashed 64-bit keys, as a broadcast side of proven size.
 
-    It has KEY_BITS bits a counted key, at most 2**MOST_LOG_BITS: that is 32 MiB, in rows of 4 KiB. A key that
+    It has KEY_BITS bits a counted key, at most 2**MOST_LOG_BITS: that is 64 MiB, in rows of 4 KiB. A key that
     went in always passes; others pass with a chance of about one in KEY_BITS, more beyond the bound, so
     an exact join or grouping has to follow. `matching` keeps that chance at any number of keys: beyond the
     bound it takes the keys in parts, each with a bitmap of its own and a pass over the rows.

@@ -69,3 +69,34 @@ def test_stages(spark, corpus, tmp_path):
     assert sum(p.length for p in pieces) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
     again = corpus_pipeline.run(spark, path)
     assert again.columns == docs.columns and again.count() >= len({p.doc_id for p in pieces})
+
+
+def tables(spark, path, docs, labels=(), items=()):
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    return df.selectExpr("*", "'clash' n", "'clash' kept", "'clash' p_bad", "'clash' removed_lines", "'clash' digest", "'clash' body")
+
+
+def test_rows_are_known_by_id_and_text(spark, tmp_path):
+    """One id with two texts is two documents; repeated rows are one; nulls and empty texts are near to nothing else."""
+    text, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    docs = [(0, text), (1, text), (1, other), (5, "some words here"), (5, "some words here"), (6, None), (6, None), (6, ""), (7, ""), (None, text + " x"), (None, None)]
+    df = tables(spark, tmp_path, docs)
+    got = corpus_pipeline.ngram_jaccard_join(spark, df, str(tmp_path))
+    assert got.columns == df.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [
+        (None, text + " x"), (1, other), (5, "some words here"), (6, None), (6, ""), (7, ""), (None, None)]))
+
+
+def test_hard_cases(spark, tmp_path):
+    """Nulls, repeats, an empty table and extra columns, through every stage."""
+    docs = [(None, None), (1, ""), (1, ""), (2, "word " * 30_000), (3, "a b c"), (3, "a b c"), (4, " \n\n "), (5, "x" * 5_000)]
+    df = tables(spark, tmp_path / "a", docs)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, df, str(tmp_path / "a"))
+        assert got.columns == [c for c in df.columns], name
+        assert 0 < got.count() <= len(docs) and stage(spark, df.limit(0), str(tmp_path / "a")).count() == 0
+    got = corpus_pipeline.packing(spark, df, str(tmp_path / "a")).collect()
+    assert sum(p.length for p in got) == sum(p.doc_tokens for p in got if p.start == 0) and sum(p.start == 0 for p in got) == len(docs)
+    assert corpus_pipeline.packing(spark, df.limit(0), str(tmp_path / "a")).count() == 0
