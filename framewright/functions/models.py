@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark import SparkFiles
 from pyspark.ml.functions import predict_batch_udf
+from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
+from pyspark.sql import SparkSession
 from pyspark.sql.types import ArrayType, FloatType
 
+from .kernels import bilinear_weights
+from .tensor import IMAGE_MEAN, IMAGE_STD
+
 #: A model takes [batch, channels, height, width] floats and gives [batch, values].
 Model = Callable[[np.ndarray], np.ndarray]
 
@@ -62,6 +68,55 @@ def mean_depth() -> Callable[[], Model]:
     return load
 
 
+def weights(spark: SparkSession, uri: str) -> Callable[[], np.ndarray]:
+    """Ships an array file of weights to every executor; the function that is returned reads it there, once a process."""
+    spark.sparkContext.addFile(uri)
+    name = uri.rstrip("/").rpartition("/")[2]
+
+    def load() -> np.ndarray:
+        return np.load(SparkFiles.get(name), allow_pickle=False)
+
+    return load
+
+
+def linear(load: Callable[[], np.ndarray]) -> Callable[[], Model]:
+    """A model of one matrix, [inputs, values], from shipped weights."""
+
+    def make() -> Model:
+        matrix = load()
+        return lambda x: x.reshape(len(x), -1).astype(np.float64) @ matrix
+
+    return make
+
+
+def depth_chain(load: Callable[[], Model], inside: tuple[int, int]) -> Callable[[], Model]:
+    """Standardise images of 0..1, resize them to the model's size, run it, and resize its depth back; corners aligned."""
+
+    def make() -> Model:
+        model = load()
+
+        def resized(x: np.ndarray, height: int, width: int) -> np.ndarray:
+            rows, columns = (bilinear_weights(a, b, "corners") for a, b in zip(x.shape[-2:], (height, width), strict=True))
+            return np.einsum("yh,...hw,xw->...yx", rows, x, columns)
+
+        def run(x: np.ndarray) -> np.ndarray:
+            mean, std = (np.array(v)[None, :, None, None] for v in (IMAGE_MEAN, IMAGE_STD))
+            depth = model(resized((x.astype(np.float64) - mean) / std, *inside)).reshape(len(x), 1, *inside)
+            return resized(depth, *x.shape[-2:]).reshape(len(x), -1)
+
+        return run
+
+    return make
+
+
+def on_accelerators(spark: SparkSession, amount: int = 1):
+    """A resource profile of so many GPUs a task for ``mapInArrow(profile=...)``; None on a local master, which has none."""
+    if spark.sparkContext.master.startswith("local"):
+        return None
+    executors = ExecutorResourceRequests().resource("gpu", amount)
+    return ResourceProfileBuilder().require(executors).require(TaskResourceRequests().resource("gpu", amount)).build
+
+
 def single(load: Callable[[], Model], shape: tuple[int, int, int], values: int):
     """One image at a time."""
     return batched(load, shape, values, 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,9 +29,21 @@ def flip_channels(x: Column, h: int, w: int, c: int = 3) -> Column:
     return _by_index(h * w * c, lambda p: F.get(x, p - p % c + (c - 1) - p % c))
 
 
-def to_unit_range(x: Column) -> Column:
-    """0..255 to -1..1."""
-    return F.transform(x, lambda v: v / F.lit(255.0) * 2 - 1)
+def to_unit_range(x: Column, kind: str = "double") -> Column:
+    """0..255 to -1..1, in doubles, or with every step rounded to `kind` "float" or "bfloat16"."""
+    to = {"double": lambda v: v, "float": lambda v: v.cast("float"), "bfloat16": to_bfloat16}[kind]
+    return F.transform(x, lambda v: to(to(to(to(v.cast("double")) / F.lit(255.0)) * F.lit(2.0)) - F.lit(1.0)))
+
+
+def to_bfloat16(v: Column) -> Column:
+    """A number rounded to eight significant bits, halves to even, as a double; Spark has no such type."""
+    scale = F.pow(F.lit(2.0), 7 - F.floor(F.log2(F.abs(v))))
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.rint(v * scale) / scale)
+
+
+def unsqueeze(shape: Column, axis: int) -> Column:
+    """A shape with an axis of one more at `axis`; the flat values stay as they are."""
+    return F.concat(F.slice(shape, 1, axis), F.array(F.lit(1)), F.slice(shape, axis + 1, F.size(shape)))
 
 
 def standardise(x: Column, h: int, w: int, mean=IMAGE_MEAN, std=IMAGE_STD) -> Column:
@@ -75,6 +89,51 @@ def resize(x: Column, h: int, w: int, to_h: int, to_w: int, align_corners: bool
     return _by_index(to_h * to_w, pixel)
 
 
+def weighted(x: Column, rows: Sequence[Sequence[float]], columns: Sequence[Sequence[float]]) -> Column:
+    """A resize, one channel, by stated weights: those of the source's rows for each new row, and of its columns."""
+    h, w, to_w = len(rows[0]), len(columns[0]), len(columns)
+    by_row, by_column = (F.array(*[F.lit(float(v)) for line in m for v in line]) for m in (rows, columns))
+
+    def pixel(p: Column) -> Column:
+        def along(y: Column) -> Column:
+            return F.aggregate(F.sequence(F.lit(0), F.lit(w - 1)), F.lit(0.0), lambda a, j: a + F.get(by_column, p % to_w * w + j) * F.get(x, y * w + j))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(h - 1)), F.lit(0.0), lambda a, i: a + F.get(by_row, _div(p, to_w) * h + i) * along(i))
+
+    return _by_index(len(rows) * to_w, pixel)
+
+
+#: Fixed values of the fixed-point kernel: bits of a weight, and what its two roundings take off.
+WEIGHT_BITS, ROW_SHIFT, COLUMN_SHIFT = 11, 4, 16
+
+
+def fixed_point(x: Column, h: int, w: int, to_h: int, to_w: int) -> Column:
+    """Bilinear resize of bytes, one channel, in whole numbers: weights of WEIGHT_BITS bits, halves of a pixel as centres."""
+    def source(at: Column, size: int, to: int) -> tuple[Column, Column, Column]:
+        place = ((at + 0.5) * F.lit(size / to) - 0.5).cast("float")
+        low = F.floor(place).cast("int")
+        part = F.when((low < 0) | (low >= size - 1), F.lit(0.0)).otherwise((place - low).cast("float").cast("double"))
+        low = F.greatest(F.lit(0), F.least(low, F.lit(size - 1)))
+        return low, F.least(low + 1, F.lit(size - 1)), part
+
+    def share(part: Column) -> Column:
+        return F.rint(part * (1 << WEIGHT_BITS)).cast("int")
+
+    def pixel(p: Column) -> Column:
+        y0, y1, dy = source(_div(p, to_w), h, to_h)
+        z0, z1, dz = source(p % to_w, w, to_w)
+
+        def line(y: Column) -> Column:
+            return F.get(x, y * w + z0) * share(1 - dz) + F.get(x, y * w + z1) * share(dz)
+
+        def part(y: Column, weight: Column) -> Column:
+            return F.shiftright(share(weight) * F.shiftright(line(y), ROW_SHIFT), COLUMN_SHIFT)
+
+        return F.shiftright(part(y0, 1 - dy) + part(y1, dy) + 2, 2)
+
+    return _by_index(to_h * to_w, pixel)
+
+
 def depth_to_bytes(x: Column) -> Column:
     """One image's depth to 0..255: deviations from the median over their mean size, then min-max, truncated.
 

@@ -44,13 +44,19 @@ def chunks(df: DataFrame, video: list[str], size: int, index: str = "j") -> Data
         F.count("*").alias("n_frames"), F.min(index).alias("first_frame"), F.max(index).alias("last_frame"))
 
 
-def windows(df: DataFrame, video: list[str], size: int, stride: int, fps: int, index: str = "j", exact_times: bool = False) -> DataFrame:
+def windows(
+    df: DataFrame, video: list[str], size: int, stride: int, fps: int, index: str = "j", exact_times: bool = False, frame: str | None = None
+) -> DataFrame:
     """Whole windows of `size` kept frames with their metadata; a short tail is dropped.
 
+    `index` numbers the frames that windows are cut from. `frame` numbers all kept frames of the video, if that
+    differs: with a start offset, windows begin at the offset but frame numbers count from the video's first.
     Frame numbers are those of the last frame before the window and of its last one, in frames of the
     video: the first window of a video starts at minus `stride`. Times divide by the whole effective rate.
     """
-    found = chunks(df, video, size, index).where(F.col("n_frames") == size)
+    at = df.withColumn("chunk", F.expr(f"{index} div {size}"))
+    found = at.groupBy(*video, "chunk").agg(F.count("*").alias("n_frames"), F.max(frame or index).alias("last_frame"))
+    found = found.where(F.col("n_frames") == size)
     end = F.col("last_frame") * stride
     start = end - size * stride
     return found.select(

@@ -53,3 +53,13 @@ def two_levels(df: DataFrame, nodes: int, workers: int, position: str = "pos", t
     before = node * size + F.least(node, rest)
     own = size + (node < rest).cast("long")
     return df.withColumn("worker", balanced(pos - before, own, workers))
+
+
+def clamped(workers: int | Column, items: Column) -> Column:
+    """No more workers than items, and one at least."""
+    return F.greatest(F.lit(1), F.least(F.lit(workers) if isinstance(workers, int) else workers, items))
+
+
+def consumers(df: DataFrame, number: int, *key: str) -> DataFrame:
+    """Each row to exactly one of `number` consumers, which are tasks; `consumer` says which took it."""
+    return df.repartition(number, *key).withColumn("consumer", F.spark_partition_id().cast("long"))

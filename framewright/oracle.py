@@ -1,5 +1,7 @@
 """The registered queries in SQL for DuckDB."""
 
+from .file_oracle import FILE_SQL
+
 _FRAMES = "SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events"
 _DOCS = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, count(*) OVER () AS total FROM documents"
 _VECS = "SELECT vec_id, label, embedding::DOUBLE[] AS x, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM embeddings"
@@ -31,6 +33,30 @@ def _batch(size: int, low: str, high: str) -> str:
     SELECT vec_id, p::BIGINT AS p, CASE WHEN hi > lo THEN floor((v - lo) / (hi - lo) * 255)::BIGINT ELSE 0 END AS v FROM b JOIN r USING (b)"""
 
 
+def _t12(source: str) -> str:
+    """Depth bytes of (vec_id, p, v)."""
+    return f"""
+    WITH x AS ({source}), m AS (SELECT vec_id, median(v) AS med FROM x GROUP BY vec_id),
+     s AS (SELECT vec_id, any_value(med) AS med, sum(abs(v - med) ORDER BY p) / count(*) AS mad FROM x JOIN m USING (vec_id) GROUP BY vec_id),
+     d AS (SELECT vec_id, p, CASE WHEN mad > 0 THEN (v - med) / mad ELSE 0 END AS d FROM x JOIN s USING (vec_id)),
+     r AS (SELECT vec_id, min(d) AS lo, max(d) AS hi FROM d GROUP BY vec_id)
+    SELECT vec_id, p::BIGINT AS p, floor((d - lo) / (hi - lo + 1e-8::DOUBLE) * 255)::BIGINT AS v FROM d JOIN r USING (vec_id)"""
+
+
+def _bf(x: str) -> str:
+    """Eight significant bits."""
+    return f"CASE WHEN {x} = 0 THEN 0::DOUBLE ELSE round_even(({x}) * pow(2::DOUBLE, 7 - floor(log2(abs({x})))), 0) / pow(2::DOUBLE, 7 - floor(log2(abs({x})))) END"
+
+
+_STEPS = f"SELECT *, {_bf('a * 2 - 1')} AS b FROM (SELECT *, {_bf('q / 255.0::DOUBLE')} AS a FROM ({_BYTES}))"
+_FLOATS = f"SELECT *, (((q / 255.0::DOUBLE)::FLOAT::DOUBLE * 2)::FLOAT::DOUBLE - 1)::FLOAT::DOUBLE AS v FROM ({_BYTES})"
+_LABELLED = "SELECT doc_id FROM labels WHERE quality IS NOT NULL"
+
+
+def _source(at: str, size: str) -> str:
+    return f"(({at} + 0.5::DOUBLE) * ({size}) - 0.5)::FLOAT"
+
+
 SQL: dict[str, str] = {
     "stride_filter": f"SELECT user_id, event_id, i, i // 3 AS j FROM ({_FRAMES}) WHERE i % 3 = 0",
     "skip_filter": f"SELECT user_id, event_id, i, i // 4 AS j FROM ({_FRAMES}) WHERE i % 4 = 0",
@@ -98,12 +124,7 @@ SQL: dict[str, str] = {
     FROM (SELECT page_id, list_last(string_split(regexp_extract(url, '^([^?#]*)', 1), '/')) AS name FROM pages)
     WHERE regexp_full_match(name, '[0-9]+') AND TRY_CAST(name AS BIGINT) BETWEEN 0 AND 999""",
     "padded_name": "SELECT doc_id, printf('%06d', doc_id) AS name, printf('%08d_rgb', doc_id) AS chunk_name FROM documents",
-    "depth_normalise": f"""
-    WITH m AS (SELECT vec_id, median(v) AS med FROM ({_PIX}) GROUP BY vec_id),
-     s AS (SELECT vec_id, any_value(med) AS med, sum(abs(v - med) ORDER BY p) / count(*) AS mad FROM ({_PIX}) JOIN m USING (vec_id) GROUP BY vec_id),
-     d AS (SELECT vec_id, p, CASE WHEN mad > 0 THEN (v - med) / mad ELSE 0 END AS d FROM ({_PIX}) JOIN s USING (vec_id)),
-     r AS (SELECT vec_id, min(d) AS lo, max(d) AS hi FROM d GROUP BY vec_id)
-    SELECT vec_id, p::BIGINT AS p, floor((d - lo) / (hi - lo + 1e-8::DOUBLE) * 255)::BIGINT AS v FROM d JOIN r USING (vec_id)""",
+    "depth_normalise": _t12(f"SELECT vec_id, p, v FROM ({_PIX})"),
     "batch_normalise": _batch(32, "min(v)", "max(v)"),
     "batch_normalise_padded": _batch(48, "CASE WHEN count(*) < 48 * 64 THEN least(min(v), -1) ELSE min(v) END", "CASE WHEN count(*) < 48 * 64 THEN greatest(max(v), -1) ELSE max(v) END"),
     "collate": f"""
@@ -117,15 +138,105 @@ SQL: dict[str, str] = {
     "centre_crop": f"SELECT vec_id, (p - 16)::BIGINT AS p, v FROM ({_PIX}) WHERE p BETWEEN 16 AND 47",
     "resize_half": _resize("greatest(0.0::DOUBLE, (y + 0.5::DOUBLE) * (8 / 5.0::DOUBLE) - 0.5)", "greatest(0.0::DOUBLE, (x + 0.5::DOUBLE) * (8 / 7.0::DOUBLE) - 0.5)"),
     "resize_corners": _resize("y * (7 / 4.0::DOUBLE)", "x * (7 / 6.0::DOUBLE)"),
-    "tensor_stats": f"SELECT label, min(v) AS low, max(v) AS high, count(*) AS n_values FROM ({_PIX}) GROUP BY label",
+    "tensor_stats": f"SELECT label, min(v) AS low, max(v) AS high, round(avg(v), 9) AS mean, count(*) AS n_values FROM ({_PIX}) GROUP BY label",
     "padded_batch": f"SELECT pos // 128 AS batch_id, count(*) AS n_rows, 128 - count(*) AS n_pad FROM ({_VECS}) GROUP BY 1",
     "encode_batches": f"""
-    SELECT vec_id, (p // 8 // 4 * 2 + p % 8 // 4)::BIGINT AS p, round(avg(v), 4) + 0::DOUBLE AS v FROM ({_PIX}) GROUP BY vec_id, p // 8 // 4 * 2 + p % 8 // 4""",
-    "depth_batches": f"SELECT vec_id, (p % 16)::BIGINT AS p, round(avg(v), 4) + 0::DOUBLE AS v FROM ({_PIX}) GROUP BY vec_id, p % 16",
+    SELECT vec_id, (p // 8 // 4 * 2 + p % 8 // 4)::BIGINT AS p, round(avg(v)::FLOAT::DOUBLE, 4) + 0::DOUBLE AS v FROM ({_PIX}) GROUP BY vec_id, p // 8 // 4 * 2 + p % 8 // 4""",
+    "depth_batches": f"SELECT vec_id, (p % 16)::BIGINT AS p, round(avg(v)::FLOAT::DOUBLE, 4) + 0::DOUBLE AS v FROM ({_PIX}) GROUP BY vec_id, p % 16",
     "stream_windows": f"""
     SELECT user_id, i // 16 AS idx_in_vid, min_by(event_id, i) AS first_event, max_by(event_id, i) AS last_event, count(*) AS n_frames
     FROM ({_FRAMES}) GROUP BY user_id, i // 16 HAVING count(*) = 16""",
     "stream_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "stream_encode": f"""
-    SELECT vec_id, (p // 8 // 4 * 2 + p % 8 // 4)::BIGINT AS p, round(avg(v), 4) + 0::DOUBLE AS v FROM ({_PIX}) GROUP BY vec_id, p // 8 // 4 * 2 + p % 8 // 4""",
+    SELECT vec_id, (p // 8 // 4 * 2 + p % 8 // 4)::BIGINT AS p, round(avg(v)::FLOAT::DOUBLE, 4) + 0::DOUBLE AS v FROM ({_PIX}) GROUP BY vec_id, p // 8 // 4 * 2 + p % 8 // 4""",
+    "window_offset": f"""
+    SELECT user_id, k // 4 AS idx_in_vid, (max(j) * 2 - 8)::BIGINT AS start_frame, (max(j) * 2)::BIGINT AS end_frame,
+           (max(j) * 2 - 8)::DOUBLE / 15 AS start_ts, (max(j) * 2)::DOUBLE / 15 AS end_ts
+    FROM (SELECT *, j - concat('0x', substr(md5('7:' || user_id), 1, 8))::BIGINT % 5 AS k FROM (SELECT user_id, i // 2 AS j FROM ({_FRAMES}) WHERE i % 2 = 0))
+    WHERE k >= 0 GROUP BY user_id, k // 4 HAVING count(*) = 4""",
+    "positional_zip": f"""
+    SELECT pos, doc_id, label_id FROM ({_DOCS}) JOIN (SELECT doc_id AS label_id, row_number() OVER (ORDER BY doc_id DESC) - 1 AS pos FROM labels) USING (pos)""",
+    "competing_consumers": "SELECT event_id, 1 AS deliveries, 1 AS known FROM events",
+    "clamped_workers": "SELECT source, least(40, count(*)) AS workers FROM documents GROUP BY source",
+    "throughput_at_once": """
+    SELECT user_id, CASE WHEN us > 0 THEN round(n / (us / 1e6::DOUBLE), 9) ELSE 'inf'::DOUBLE END AS per_second,
+           CASE WHEN us > 0 THEN round(n / (us / 1e6::DOUBLE), 9) ELSE 0 END AS guarded
+    FROM (SELECT user_id, count(*) AS n, epoch_us(max(ts)) - epoch_us(min(ts)) AS us FROM events GROUP BY 1)""",
+    "average_fps": """
+    SELECT user_id, CASE WHEN us > 0 THEN round((n - 1) / (us / 1e6::DOUBLE), 9) END AS fps
+    FROM (SELECT user_id, count(*) AS n, epoch_us(max(ts)) - epoch_us(min(ts)) AS us FROM events GROUP BY 1)""",
+    "suffix_case": "SELECT page_id, url FROM pages WHERE page_id % 2 <> 0 AND url LIKE '%.html'",
+    "resize_antialias": f"""
+    WITH w AS (SELECT size, o, i, greatest(0, 1 - abs((i + 0.5::DOUBLE - (o + 0.5::DOUBLE) * 8 / size) / (8 / size::DOUBLE))) AS w
+               FROM (VALUES (5), (3)) s(size), range(5) t(o), range(8) u(i) WHERE o < size),
+     n AS (SELECT size, o, i, w / sum(w) OVER (PARTITION BY size, o) AS w FROM w)
+    SELECT vec_id, (y.o * 3 + x.o)::BIGINT AS p, round(sum(y.w * x.w * v), 6) + 0::DOUBLE AS v
+    FROM ({_PIX}) px JOIN n y ON y.size = 5 AND y.i = px.p // 8 JOIN n x ON x.size = 3 AND x.i = px.p % 8 GROUP BY vec_id, y.o, x.o""",
+    "resize_fixed": f"""
+    WITH s AS (SELECT 'y' AS d, o, {_source("o", "8 / 5.0::DOUBLE")} AS place FROM range(5) t(o) UNION ALL SELECT 'x', o, {_source("o", "8 / 7.0::DOUBLE")} FROM range(7) t(o)),
+     w AS (SELECT d, o, floor(place)::INT AS low, CASE WHEN floor(place) < 0 OR floor(place) >= 7 THEN 0 ELSE (place - floor(place))::FLOAT::DOUBLE END AS part FROM s),
+     c AS (SELECT d, o, greatest(0, least(7, low)) AS i0, least(greatest(0, least(7, low)) + 1, 7) AS i1,
+                  round_even((1 - part) * 2048, 0)::BIGINT AS w0, round_even(part * 2048, 0)::BIGINT AS w1 FROM w),
+     b AS (SELECT vec_id, list(q::BIGINT ORDER BY p) AS q FROM ({_BYTES}) GROUP BY vec_id),
+     l AS (SELECT vec_id, y.o AS oy, x.o AS ox, y.w0, y.w1, (q[y.i0 * 8 + x.i0 + 1] * x.w0 + q[y.i0 * 8 + x.i1 + 1] * x.w1) // 16 AS top,
+                  (q[y.i1 * 8 + x.i0 + 1] * x.w0 + q[y.i1 * 8 + x.i1 + 1] * x.w1) // 16 AS low FROM b, c y, c x WHERE y.d = 'y' AND x.d = 'x')
+    SELECT vec_id, (oy * 7 + ox)::BIGINT AS p, ((w0 * top) // 65536 + (w1 * low) // 65536 + 2) // 4 AS v FROM l""",
+    "channel_axis": "SELECT vec_id, '1x8x8' AS shape, len(embedding) AS n FROM embeddings",
+    "bfloat16_cast": f"SELECT vec_id, p::BIGINT AS p, {_bf('v')} AS v FROM ({_PIX})",
+    "unit_range_float": f"SELECT vec_id, p::BIGINT AS p, round(v, 9) AS v FROM ({_FLOATS})",
+    "unit_range_bfloat16": f"SELECT vec_id, p::BIGINT AS p, round(b, 9) AS v FROM ({_STEPS})",
+    "preprocess_rgbd": f"SELECT vec_id, p::BIGINT AS p, round({_bf('v')}, 9) AS v FROM ({_FLOATS})",
+    "aligned_concat": f"""
+    SELECT vec_id, p::BIGINT AS p, v FROM ({_PIX}) JOIN (SELECT vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i FROM embeddings) USING (vec_id) WHERE i % 3 > 0""",
+    "collate_metadata": f"""
+    SELECT pos // 32 AS batch_id, count(DISTINCT pos) AS n, string_agg(vec_id::VARCHAR, ',' ORDER BY pos) FILTER (WHERE p = 0) AS ids,
+           string_agg(label::VARCHAR, ',' ORDER BY pos) FILTER (WHERE p = 0) AS labels,
+           round(arg_min(q, pos) FILTER (WHERE p = 0) / 255.0::DOUBLE * 2 - 1, 9) AS first, round(arg_max(q, pos) FILTER (WHERE p = 63) / 255.0::DOUBLE * 2 - 1, 9) AS last
+    FROM ({_BYTES}) JOIN (SELECT vec_id, label FROM embeddings) USING (vec_id) GROUP BY pos // 32""",
+    "depth_single": _t12(f"SELECT vec_id, p, ((x[p + 1] + x[p + 17] + x[p + 33] + x[p + 49]) / 4)::FLOAT::DOUBLE AS v FROM ({_VECS}), range(16) t(p)"),
+    # over files
+    "image_read": f"""
+    SELECT vec_id, CASE WHEN good THEN 4 END AS height, CASE WHEN good THEN 4 END AS width, CASE WHEN good THEN 3 END AS channels,
+           CASE WHEN good THEN total END AS total, CASE WHEN good THEN blue END AS blue, CASE WHEN NOT good THEN 'unreadable' END AS error
+    FROM (SELECT vec_id, vec_id % 9 > 0 AS good, sum(q)::BIGINT AS total, any_value(q) FILTER (WHERE p = 2)::BIGINT AS blue FROM ({_BYTES}) WHERE p < 48 GROUP BY vec_id)""",
+    "array_read": f"SELECT vec_id, '4x16' AS shape, 'float64' AS dtype, x[1] AS first, x[64] AS last FROM ({_VECS})",
+    "depth_tensor_job": f"""
+    WITH d AS (
+      SELECT vec_id, pos, p, ((((a / 255.0::DOUBLE)::FLOAT::DOUBLE - 0.485::DOUBLE) / 0.229::DOUBLE + ((b / 255.0::DOUBLE)::FLOAT::DOUBLE - 0.456::DOUBLE) / 0.224::DOUBLE
+             + ((c / 255.0::DOUBLE)::FLOAT::DOUBLE - 0.406::DOUBLE) / 0.225::DOUBLE) / 3)::FLOAT::DOUBLE AS v
+      FROM (SELECT vec_id, pos, p % 16 AS p, any_value(q) FILTER (WHERE p < 16) AS a, any_value(q) FILTER (WHERE p BETWEEN 16 AND 31) AS b, any_value(q) FILTER (WHERE p BETWEEN 32 AND 47) AS c
+            FROM ({_BYTES}) GROUP BY vec_id, pos, p % 16)),
+     b AS (SELECT vec_id, p, pos // 32 AS b, (v - 100.0::DOUBLE) / 100.0::DOUBLE AS v FROM d), r AS (SELECT b, min(v) AS lo, max(v) AS hi FROM b GROUP BY b)
+    SELECT vec_id, p::BIGINT AS p, CASE WHEN hi > lo THEN floor((v - lo) / (hi - lo) * 255)::BIGINT ELSE 0 END AS v FROM b JOIN r USING (b)""",
+    "depth_latent_job": f"""
+    SELECT vec_id, (p % 16 // 4 // 2 * 2 + p % 4 // 2)::BIGINT AS p, round(avg(b)::FLOAT::DOUBLE, 4) + 0::DOUBLE AS v
+    FROM (SELECT *, {_bf('v')} AS b FROM ({_FLOATS})) WHERE vec_id % 5 <> 0 GROUP BY vec_id, p % 16 // 4 // 2 * 2 + p % 4 // 2""",
+    "weights_model": f"SELECT vec_id, j::BIGINT AS p, round(sum(q * (p % 3 + j))::DOUBLE, 2) AS v FROM ({_BYTES}), range(2) t(j) GROUP BY vec_id, j",
+    "resource_task": "SELECT vec_id, 64 AS n FROM embeddings",
+    "payload_projection": f"SELECT vec_id, label, 64 AS n, x[1] AS first FROM ({_VECS})",
+    "stream_shuffle": f"""
+    SELECT user_id, b * 8 + row_number() OVER (PARTITION BY user_id, b ORDER BY md5('42:' || event_id), event_id) - 1 AS pos, event_id
+    FROM (SELECT *, i // 8 AS b, count(*) OVER (PARTITION BY user_id, i // 8) AS c FROM ({_FRAMES})) WHERE c = 8""",
+    "stream_progress": 'SELECT count(*) AS "rows" FROM events',
+    "indexed_listing": f"""
+    SELECT doc_id % 3 AS top, printf('%06d', doc_id // 50) AS subdir, doc_id % 50 * 30 AS number FROM documents
+    WHERE doc_id % 50 * 30 < 1000 AND doc_id NOT IN ({_LABELLED})""",
+    "tensor_listing": f"SELECT printf('%08d_rgb.pt', doc_id) AS rgb, printf('%08d_depth.pt', doc_id) AS result FROM documents WHERE doc_id NOT IN ({_LABELLED})",
+    "latent_listing": """
+    SELECT printf('%08d_rgb.pt', doc_id) AS rgb, printf('%08d_depth.pt', doc_id) AS other, printf('%08d_depthlatent.pt', doc_id) AS result FROM labels WHERE quality <> 1""",
+    "pair_listing": f"""
+    SELECT doc_id || CASE WHEN doc_id % 2 = 0 THEN '.JPG' ELSE '.jpg' END AS rgb_path, doc_id || '.depth.jpg' AS depth_path FROM documents WHERE doc_id IN ({_LABELLED})""",
+    "tar_members": """
+    SELECT printf('%04d.tar', doc_id // 7) AS archive, printf('%04d.txt', doc_id % 7) AS member, sha256(coalesce(text, '')) AS sha256 FROM documents""",
+    "tar_job": f"""
+    SELECT printf('%d/%04d/%04d.tar', rank, p // 5 // 3, p // 5 % 3) AS archive, count(*) AS n_rgb, count(*) AS n_depth
+    FROM (SELECT rank, row_number() OVER (PARTITION BY rank) - 1 AS p FROM (SELECT ntile(2) OVER (ORDER BY doc_id) - 1 AS rank FROM ({_LABELLED}))) GROUP BY 1""",
+    "image_watch": """
+    SELECT 0 AS poll, count(*) FILTER (WHERE doc_id % 2 = 0) AS n_images, 0 AS more FROM documents
+    UNION ALL SELECT 1, count(*), count(*) FILTER (WHERE doc_id % 2 = 1) FROM documents""",
 }
+SQL |= FILE_SQL
+SQL["latent_stream"] = SQL["latent_stream"].format(a=_bf("q / 255.0::DOUBLE"), b=_bf("a * 2 - 1"))
+SQL["depth_image_job"] = f"""
+    SELECT vec_id AS conv_id, 4 AS height, 4 AS width, 1 AS channels, sum(v)::BIGINT AS total
+    FROM ({_t12(SQL["depth_image_job"])}) GROUP BY vec_id"""

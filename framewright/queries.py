@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import models, paths, tensor
+from .functions import kernels, models, paths, tensor
 from .operators import batches, monitor, pairing, sequence, sharding, shuffle
 from .oracle import SQL
 from .streaming import windows as stream
@@ -98,6 +98,14 @@ def window_true_times(spark, sf_dir):
     return sequence.windows(sequence.keep_stride(frames(spark, sf_dir), 2), ["user_id"], 4, 2, 30, exact_times=True)
 
 
+@query
+def window_offset(spark, sf_dir):
+    """Windows from a seeded start; frame numbers and times count from the video's first frame."""
+    kept = sequence.keep_stride(frames(spark, sf_dir), 2)
+    started = sequence.start_at(kept, sequence.seeded_offset(F.col("user_id"), 4, 7), "j")
+    return sequence.windows(started, ["user_id"], 4, 2, 30, index="k", frame="j")
+
+
 @query
 def frame_address(spark, sf_dir):
     numbered = sharding.with_position(table(spark, sf_dir, "events").select("event_id", "user_id"), "user_id", "event_id")
@@ -209,6 +217,26 @@ def fan_in(spark, sf_dir):
     return pairing.fan_in(*parts)
 
 
+@query
+def positional_zip(spark, sf_dir):
+    """The n-th document beside the n-th label from the end."""
+    docs, labels = labelled(spark, sf_dir)
+    return pairing.zipped(docs.select("doc_id"), labels.select(F.col("doc_id").alias("label_id"), (-F.col("doc_id")).alias("_down")), ["doc_id"], ["_down"]).select("pos", "doc_id", "label_id")
+
+
+@query
+def competing_consumers(spark, sf_dir):
+    """How often each event was delivered, to whichever of five consumers."""
+    taken = sharding.consumers(table(spark, sf_dir, "events").select("event_id"), 5)
+    return taken.groupBy("event_id").agg(F.count("*").alias("deliveries"), F.max((F.col("consumer") < 5).cast("long")).alias("known"))
+
+
+@query
+def clamped_workers(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    return docs.select("source", sharding.clamped(40, F.col("n")).cast("long").alias("workers"))
+
+
 @query
 def tar_address(spark, sf_dir):
     """Which archive holds which pair: pairs, shuffle, ranks, a shuffle in each rank, addresses."""
@@ -253,9 +281,23 @@ def throughput(spark, sf_dir):
     return span.select("event_type", "n", F.round(monitor.rate(F.col("n"), seconds), 9).alias("per_second"), F.round(monitor.estimated_total(F.col("n"), 8, seconds), 9).alias("estimated"))
 
 
+@query
+def throughput_at_once(spark, sf_dir):
+    """Each user's rate; infinite for a user of one event."""
+    span = table(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.count("*").alias("n"), ((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 1e6).alias("s"))
+    return span.select("user_id", F.round(monitor.rate(F.col("n"), F.col("s"), float("inf")), 9).alias("per_second"), F.round(monitor.rate(F.col("n"), F.col("s"), 0.0), 9).alias("guarded"))
+
+
 # Paths.
 
 
+@query
+def suffix_case(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, F.upper("url")).otherwise(F.col("url")).alias("url"))
+    return pages.where(paths.has_suffix(F.col("url"), ".html"))
+
+
 @query
 def path_parts(spark, sf_dir):
     url = F.col("url")
@@ -344,9 +386,74 @@ def resize_corners(spark, sf_dir):
     return pixels(vectors(spark, sf_dir).withColumn("t", tensor.resize(F.col("x"), 8, 8, 5, 7, align_corners=True)), "t", 6)
 
 
+@query
+def resize_antialias(spark, sf_dir):
+    rows, columns = kernels.bilinear_weights(8, 5, "antialias"), kernels.bilinear_weights(8, 3, "antialias")
+    return pixels(vectors(spark, sf_dir).withColumn("t", tensor.weighted(F.col("x"), rows, columns)), "t", 6)
+
+
+@query
+def resize_fixed(spark, sf_dir):
+    return pixels(quantised(vectors(spark, sf_dir)).withColumn("t", tensor.fixed_point(F.col("q"), 8, 8, 5, 7)), "t")
+
+
+@query
+def channel_axis(spark, sf_dir):
+    shape = tensor.unsqueeze(F.array(F.lit(8), F.lit(8)), 0)
+    rows = vectors(spark, sf_dir).select("vec_id", F.array_join(shape.cast("array<string>"), "x").alias("shape"), "x")
+    return rows.select("vec_id", "shape", F.size("x").cast("long").alias("n"))
+
+
+@query
+def bfloat16_cast(spark, sf_dir):
+    return pixels(vectors(spark, sf_dir).withColumn("t", F.transform("x", tensor.to_bfloat16)), "t")
+
+
+@query
+def unit_range_float(spark, sf_dir):
+    return pixels(quantised(vectors(spark, sf_dir)).withColumn("t", tensor.to_unit_range(F.col("q"), "float")), "t", 9)
+
+
+@query
+def unit_range_bfloat16(spark, sf_dir):
+    return pixels(quantised(vectors(spark, sf_dir)).withColumn("t", tensor.to_unit_range(F.col("q"), "bfloat16")), "t", 9)
+
+
+@query
+def preprocess_rgbd(spark, sf_dir):
+    """Bytes of an image and its depth to one tensor for the encoder."""
+    return pixels(quantised(vectors(spark, sf_dir)).withColumn("t", batches.preprocess(F.slice("q", 1, 48), F.slice("q", 49, 16))), "t", 9)
+
+
+@query
+def aligned_concat(spark, sf_dir):
+    """Two recordings of a video, joined by video and frame number."""
+    rows = sequence.with_index(vectors(spark, sf_dir), ["label"], ["vec_id"], "frame_idx")
+    left, right = rows.select("vec_id", "label", "frame_idx", F.slice("x", 1, 48).alias("rgb")), rows.select("label", "frame_idx", F.slice("x", 49, 16).alias("depth"))
+    return pixels(pairing.aligned(left, right.where("frame_idx % 3 > 0"), ["label"], "frame_idx", ("rgb", "depth"), "t"), "t")
+
+
+@query
+def collate_metadata(spark, sf_dir):
+    """Whole batches: their size, their labels in order, the first and last value of the tensors."""
+    rows = batches.collate_with_metadata(quantised(vectors(spark, sf_dir, True)), "q", (4, 4, 4), 32, ["vec_id", "label"])
+    return rows.select(
+        "batch_id", F.size("tensors").cast("long").alias("n"), F.array_join(F.transform("metadata", lambda m: m["vec_id"].cast("string")), ",").alias("ids"),
+        F.array_join(F.transform("metadata", lambda m: m["label"].cast("string")), ",").alias("labels"),
+        F.round(F.get(F.get("tensors", F.lit(0)), F.lit(0)), 9).alias("first"), F.round(F.get(F.element_at("tensors", -1), F.lit(63)), 9).alias("last"))
+
+
+@query
+def depth_single(spark, sf_dir):
+    """One image at a time through the stand-in depth model, then its own depth bytes."""
+    depth = models.single(models.mean_depth(), (4, 4, 4), 16)
+    rows = vectors(spark, sf_dir).select("vec_id", depth(F.col("x").cast("array<float>")).cast("array<double>").alias("t"))
+    return pixels(rows.withColumn("d", tensor.depth_to_bytes(F.col("t"))), "d")
+
+
 @query
 def tensor_stats(spark, sf_dir):
-    return batches.summary(vectors(spark, sf_dir), "x", ["label"])
+    return batches.summary(vectors(spark, sf_dir), "x", ["label"]).withColumn("mean", F.round("mean", 9))
 
 
 @query
@@ -363,7 +470,7 @@ def encode_batches(spark, sf_dir):
 
 @query
 def depth_batches(spark, sf_dir):
-    """The stand-in depth model, then the per-image depth bytes."""
+    """The stand-in depth model, in padded batches."""
     depth = models.batched(models.mean_depth(), (4, 4, 4), 16, 32)
     rows = vectors(spark, sf_dir).select("vec_id", depth(F.col("x").cast("array<float>")).alias("t"))
     return pixels(rows, "t", 4)
@@ -385,3 +492,6 @@ def stream_counts(spark, sf_dir):
 @query
 def stream_encode(spark, sf_dir):
     return stream.run_encoder(spark, f"{sf_dir}/embeddings.parquet")
+
+
+from . import file_queries as _file_queries  # noqa: E402, F401  (registers its queries)

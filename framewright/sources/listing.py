@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import io
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions.codecs import decode_array
 from ..functions.paths import basename, depth_image_path, dirname, has_suffix, is_depth_image, strip_extension, swap_suffix
 from ..operators.pairing import paired, todo, with_sibling
+from ..operators.sharding import two_levels, with_position
+from .archives import read_file
 
 
 def list_files(spark: SparkSession, *roots: str) -> DataFrame:
@@ -104,7 +110,6 @@ def dashcam_segments(files: DataFrame, leaf: str = "video.hevc") -> DataFrame:
 
 def unzip_members(spark: SparkSession, folder: str, exclude: list[str] | None = None) -> DataFrame:
     """archive, member and content of every file in ``Chunk_*.zip`` archives that are not excluded by name."""
-    import io
     import zipfile
 
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "Chunk_*.zip").load(folder).select("path", "content")
@@ -121,46 +126,109 @@ def unzip_members(spark: SparkSession, folder: str, exclude: list[str] | None =
     return archives.mapInArrow(members, "archive string, member string, content binary")
 
 
+#: Frames leave the decoder in batches of so many bytes of pixels.
+BATCH_BYTES = 8 << 20
+
+
 def decoded_frames(videos: DataFrame, decode: Callable, stride: int = 1, path: str = "path") -> DataFrame:
     """A row a kept frame: vid_path, frame_idx, height, width, channels, pixels, error.
 
     `decode` takes a path and yields frames as height, width, channel byte arrays; it runs where the row is.
     A video that fails gives one row with `error` after the frames it did give; filter on it. Frames leave
-    the generator one by one, so a video is never held whole.
+    the generator in batches of BATCH_BYTES, so a video is never held whole.
     """
     if stride < 1:
         raise ValueError("stride is 1 at least")
     names = ["vid_path", "frame_idx", "height", "width", "channels", "pixels", "error"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(*values) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(names, values, strict=True))], schema=schema)
+        def flush(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=schema)
 
+        rows, held = [], 0
         schema = pa.schema([("vid_path", pa.string()), ("frame_idx", pa.int64()), ("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("pixels", pa.binary()), ("error", pa.string())])
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 try:
                     for i, frame in enumerate(decode(name)):
                         if i % stride == 0:
-                            yield row(name, i, *frame.shape, frame.tobytes(), None)
+                            rows.append((name, i, *frame.shape, frame.tobytes(), None))
+                            held += len(rows[-1][5])
+                        if held > BATCH_BYTES:
+                            yield flush(rows)
+                            rows, held = [], 0
                 except Exception as error:  # a bad video is data here; the reject is kept
-                    yield row(name, None, None, None, None, None, f"{type(error).__name__}: {error}"[:500])
+                    rows.append((name, None, None, None, None, None, f"{type(error).__name__}: {error}"[:500]))
+        if rows:
+            yield flush(rows)
 
     return videos.select(path).mapInArrow(
         run, "vid_path string, frame_idx long, height int, width int, channels int, pixels binary, error string")
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded images by Spark's own reader; unreadable ones are dropped."""
-    images = spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(path)
-    return images.select("image.origin", "image.height", "image.width", F.col("image.nChannels").alias("channels"), F.col("image.data").alias("pixels"))
+def read_images(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """Images that Spark's own reader decodes (BGR); unreadable ones are dropped, or kept with `rejects`, without pixels."""
+    images = spark.read.format("image").option("dropInvalid", str(not rejects).lower()).option("recursiveFileLookup", "true").load(path)
+    height = F.col("image.height")
+    good = height > 0  # the reader marks what it can't decode by -1
+    return images.select(
+        "image.origin", F.when(good, height).alias("height"), F.when(good, F.col("image.width")).alias("width"),
+        F.when(good, F.col("image.nChannels")).alias("channels"), F.when(good, F.col("image.data")).alias("pixels"),
+        F.when(~good, F.lit("unreadable")).alias("error"))
+
+
+def read_arrays(spark: SparkSession, path: str, suffix: str = ".npy") -> DataFrame:
+    """Tensors of array files: path, shape, dtype and the values, flat, as doubles."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                x = decode_array(data.as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name]), pa.array([list(x.shape)], pa.list_(pa.int32())), pa.array([str(x.dtype)]), pa.array([x.ravel().astype("f8")], pa.list_(pa.float64()))],
+                    ["path", "shape", "dtype", "values"])
+
+    return files.select("path", "content").mapInArrow(run, "path string, shape array<int>, dtype string, values array<double>")
+
+
+def per_file(files: DataFrame, task: Callable, schema: str, path: str = "path") -> DataFrame:
+    """Any task a file: `task` takes a path and yields rows of `schema`; one that fails gives a row with `error` instead.
+
+    The rows have path and error besides the columns of `schema`. Files are tasks' rows, so a lost executor costs its
+    files only.
+    """
+    wanted = files.sparkSession.createDataFrame([], f"path string, {schema}, error string").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow, names = to_arrow_schema(wanted), wanted.names
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                rows = []
+                try:
+                    rows = [dict(zip(names, (name, *values, None), strict=True)) for values in task(name)]
+                except Exception as error:  # a bad file is data here
+                    rows = [{"path": name, "error": f"{type(error).__name__}: {error}"[:500]}]
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return files.select(path).mapInArrow(run, wanted)
+
 
+def numpy_video(path: str, stream: int = 0) -> Iterator:
+    """Stand-in decoder: an array of frames under any name; of several in one ``.npz`` file, the one at `stream`."""
+    data = read_file(path)
+    if data[:2] == b"PK":
+        with np.load(io.BytesIO(data), allow_pickle=False) as streams:
+            yield from streams[streams.files[stream]]
+    else:
+        yield from decode_array(data)
 
-def numpy_video(path: str) -> Iterator:
-    """Stand-in decoder: a ``.npy`` array of frames under any name."""
-    import numpy as np
 
-    yield from np.load(path.removeprefix("file://").removeprefix("file:"), allow_pickle=False)
+def sharded_videos(spark: SparkSession, *roots: str, suffix: str = ".mp4", nodes: int = 1, workers: int = 1) -> DataFrame:
+    """The videos of a node's workers: path, node and worker, in contiguous runs of sorted paths."""
+    found = with_position(videos(list_files(spark, *roots), suffix).select("path"), "path", total="total")
+    return two_levels(found, nodes, workers).select("path", "node", "worker")
 
 
 def siblings(path: str = "path") -> list:

@@ -24,6 +24,20 @@ def test_the_rest_works_without_the_corpus_folder(tmp_path):
                     assert "llm" not in text.read(), f
 
 
+def test_other_missing_modules_are_errors(tmp_path):
+    """Only the corpus folder may be absent; without a library that it needs the entry says so."""
+    for name in ("framewright", "__spark_entry__.py"):
+        source = os.path.join(REPO, name)
+        shutil.copytree(source, tmp_path / name) if os.path.isdir(source) else shutil.copy(source, tmp_path / name)
+    folder = tmp_path / "framewright/llm"
+    shutil.rmtree(folder, ignore_errors=True)
+    folder.mkdir()
+    (folder / "__init__.py").write_text("")
+    (folder / "queries.py").write_text("import a_library_that_is_not_there\n")
+    done = run(tmp_path, "import __spark_entry__")
+    assert done.returncode and "a_library_that_is_not_there" in done.stderr
+
+
 def test_entry(spark):
     import __spark_entry__
 

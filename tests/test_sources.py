@@ -5,8 +5,12 @@ import zipfile
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from framewright.functions import codecs, kernels, models, tensor
 from framewright.plans import jobs
-from framewright.sources import archives, listing
+from framewright.sources import archives, listing, settings
+from framewright.streaming import windows as stream
 
 
 def touch(root, *names, content=b"x"):
@@ -69,10 +73,12 @@ def test_frames_to_images(spark, tmp_path):
     n = jobs.frames_to_images(spark, str(tmp_path / "in"), f"file://{tmp_path}/out", frame_skip=1, workers=2, images_per_subdir=3)
     assert n == 4 + 2 + 3
     files = sorted(os.path.relpath(os.path.join(d, f), tmp_path / "out") for d, _, fs in os.walk(tmp_path / "out") for f in fs)
-    assert files == ["0/000000/0000.jpg", "0/000000/0001.jpg", "0/000000/0002.jpg", "0/000001/0000.jpg", "0/000001/0001.jpg", "0/000001/0002.jpg",
-                     "1/000000/0000.jpg", "1/000000/0001.jpg", "1/000000/0002.jpg"]
-    assert (tmp_path / "out/0/000001/0001.jpg").read_bytes() == np.load(tmp_path / "in/b.mp4")[0].tobytes()
-    assert jobs.count_images(spark, str(tmp_path / "out")) == 9
+    assert files == ["0/000000/0000.png", "0/000000/0001.png", "0/000000/0002.png", "0/000001/0000.png", "0/000001/0001.png", "0/000001/0002.png",
+                     "1/000000/0000.png", "1/000000/0001.png", "1/000000/0002.png"]
+    assert (tmp_path / "out/0/000001/0001.png").read_bytes() == codecs.encode_png(np.load(tmp_path / "in/b.mp4")[0])
+    jobs.frames_to_images(spark, str(tmp_path / "in"), f"file://{tmp_path}/raw", encode=lambda f: f.tobytes(), count=lambda p: 3, frame_skip=1, workers=1, ending=".jpg")
+    assert jobs.count_images(spark, str(tmp_path / "raw")) == 6  # what containers say counts: two of three frames a video, none of a bad one
+    assert (tmp_path / "raw/0/000000/0001.jpg").read_bytes() == np.load(tmp_path / "in/a.mp4")[2].tobytes()
 
 
 def test_tensors_are_chunked_and_finished_videos_skipped(spark, tmp_path):
@@ -117,3 +123,116 @@ def test_a_failed_tar_job_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017
         archives.write_tars(rows, f"file://{tmp_path}/out")
     assert not [f for _, _, fs in os.walk(tmp_path / "out") for f in fs if not f.startswith(".")]
+
+
+def test_png_files_are_read_by_spark(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    frames = {f"{c}": rng.integers(0, 256, (5, 7, c), np.uint8) for c in (1, 3)}
+    for name, frame in frames.items():
+        touch(tmp_path, f"{name}.png", content=codecs.encode_png(frame))
+    touch(tmp_path, "bad.png")
+    assert listing.read_images(spark, str(tmp_path)).count() == 2
+    for r in listing.read_images(spark, str(tmp_path), rejects=True).collect():
+        name = r.origin.rpartition("/")[2][:-4]
+        if name == "bad":
+            assert r.error and r.pixels is None and r.height is None
+        else:
+            assert np.array_equal(np.frombuffer(r.pixels, np.uint8).reshape(r.height, r.width, r.channels)[:, :, ::-1], frames[name])
+
+
+def test_fixed_point_kernel_is_the_column_form(spark):
+    rng = np.random.default_rng(2)
+    frame = rng.integers(0, 256, (9, 6, 1), np.uint8)
+    df = spark.createDataFrame([(frame.ravel().tolist(),)], "x array<int>")
+    for to in ((4, 11), (9, 6), (20, 3)):
+        got = df.select(tensor.fixed_point(F.col("x"), 9, 6, *to).alias("t")).first().t
+        assert got == kernels.resize(frame, *to, "fixed").ravel().tolist()
+        near = kernels.resize(frame.astype(float), *to)
+        assert np.abs(np.array(got) - near.ravel()).max() < 1.01
+
+
+def test_bfloat16(spark):
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.normal(0, 10, 500), 2.0 ** np.arange(-20, 20), -0.0, 1 + 2.0**-8, 1 + 3 * 2.0**-8].astype(np.float32)
+    got = spark.createDataFrame([(x.astype(float).tolist(),)], "x array<double>").select(F.transform("x", tensor.to_bfloat16).alias("t")).first().t
+    assert np.array_equal(np.array(got), kernels.to_bfloat16(x).astype(float))
+
+
+def test_names_of_any_store():
+    for name in ("/a b/#x%20.mp4", "file:/a b/#x%20.mp4", "file:///a b/#x%20.mp4"):
+        fs, path = archives.open_store(name)
+        assert path == "/a b/#x%20.mp4" and fs.type_name == "local"
+
+
+def test_odd_names_are_read(spark, tmp_path):
+    touch(tmp_path, "b c/#x%20é|.bin", content=b"12345")
+    got = listing.per_file(listing.list_files(spark, str(tmp_path)), lambda p: [(len(archives.read_file(p)),)], "n long").collect()
+    assert [(r.n, r.error) for r in got] == [(5, None)]
+
+
+def test_windows_of_a_failing_video(spark, tmp_path):
+    """The windows before the failure stand, and a row says why there are no more."""
+    make_videos(tmp_path / "in")
+
+    def decode(path):
+        for i, frame in enumerate(listing.numpy_video(path)):
+            if i == 5 and "a.mp4" in path:
+                raise OSError("cut off")
+            yield frame
+
+    paths = listing.videos(listing.list_files(spark, str(tmp_path / "in")))
+    got = stream.produce_windows(paths, decode, 2, 2, 30, (3, 4)).collect()
+    found = {(r.vid_name, r.idx_in_vid, r.start_frame, r.end_frame, r.start_ts) for r in got if not r.error}
+    assert found == {("a.mp4", 0, -2, 2, -2 / 15), ("b.mp4", 0, -2, 2, -2 / 15), ("c.mp4", 0, -2, 2, -2 / 15)}
+    assert sorted((r.vid_name, r.error[:7]) for r in got if r.error) == [("a.mp4", "OSError"), ("bad.mp4", "ValueEr")]
+    assert all(r.shape == [2, 3, 4, 3] and len(r.frames) == 72 for r in got if not r.error)
+    with pytest.raises(ValueError):
+        stream.produce_windows(paths, decode, 2, 31, 30)
+
+
+def test_a_stream_takes_up_where_it_ended(spark, tmp_path):
+    """A second run of the producer publishes only what has arrived since."""
+    make_videos(tmp_path / "in")
+    job = lambda: jobs.stream_windows(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), n_frames=4, resize_to=None)
+    read = lambda: spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out")).where("error is null").count()
+    job()
+    assert read() == 1 + 1 + 1
+    with open(tmp_path / "in/new.mp4", "wb") as f:
+        np.save(f, np.zeros((9, 6, 8, 3), np.uint8))
+    job()
+    assert read() == 3 + 2
+
+
+def test_depth_kernel_is_the_column_form(spark):
+    rng = np.random.default_rng(5)
+    for values in (rng.normal(0, 3, 24).tolist(), [2.0] * 24):
+        want = spark.createDataFrame([(values,)], "x array<double>").select(tensor.depth_to_bytes(F.col("x")).alias("t")).first().t
+        assert kernels.depth_bytes(np.array(values)).tolist() == want
+
+
+def test_credentials_go_to_the_configuration_only(spark, tmp_path):
+    text = "# comment\nexport AWS_ACCESS_KEY_ID = 'key'\nAWS_SECRET_ACCESS_KEY=\"a=b\"\n\nOTHER=1\n"
+    assert settings.parse_settings(text) == {"AWS_ACCESS_KEY_ID": "key", "AWS_SECRET_ACCESS_KEY": "a=b", "OTHER": "1"}
+    (tmp_path / "env").write_text(text)
+    conf = spark._jsc.hadoopConfiguration()
+    try:
+        assert settings.apply_credentials(spark, str(tmp_path / "env"), {"AWS_ACCESS_KEY_ID": "ours"}) == ["fs.s3a.access.key", "fs.s3a.secret.key"]
+        assert (conf.get("fs.s3a.access.key"), conf.get("fs.s3a.secret.key")) == ("ours", "a=b")
+        assert settings.apply_credentials(spark, str(tmp_path / "none"), {}) == []
+    finally:
+        for name in settings.SETTINGS.values():
+            conf.unset(name)
+
+
+def test_accelerators_are_not_asked_for_on_a_local_master(spark):
+    assert models.on_accelerators(spark) is None
+
+
+def test_a_dashcam_chunk_is_cropped_and_numbered(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    os.makedirs(tmp_path / "Chunk_1/d/3")
+    with open(tmp_path / "Chunk_1/d/3/video.hevc", "wb") as f:
+        np.save(f, rng.integers(0, 256, (5, 18, 16, 3), np.uint8))
+    touch(tmp_path, "Chunk_1/d/4/video.hevc", content=b"junk")
+    got = jobs.dashcam_chunks(spark, str(tmp_path), str(tmp_path / "out"), chunk_size=2, size=(3, 4)).collect()
+    assert sorted((r.chunk, r.drive, str(r.segment), r.i, r.idx_in_chunk, len(r.pixels)) for r in got) == [("Chunk_1", "d", "3", i // 2, i % 2, 36) for i in range(5)]
