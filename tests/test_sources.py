@@ -1,5 +1,7 @@
 import os
+import socket
 import tarfile
+import threading
 import zipfile
 
 import numpy as np
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from framewright.functions import codecs, kernels, models, tensor
 from framewright.plans import jobs
 from framewright.sources import archives, listing, settings
+from framewright.streaming import ports, training
 from framewright.streaming import windows as stream
 
 
@@ -236,3 +239,48 @@ def test_a_dashcam_chunk_is_cropped_and_numbered(spark, tmp_path):
     touch(tmp_path, "Chunk_1/d/4/video.hevc", content=b"junk")
     got = jobs.dashcam_chunks(spark, str(tmp_path), str(tmp_path / "out"), chunk_size=2, size=(3, 4)).collect()
     assert sorted((r.chunk, r.drive, str(r.segment), r.i, r.idx_in_chunk, len(r.pixels)) for r in got) == [("Chunk_1", "d", "3", i // 2, i % 2, 36) for i in range(5)]
+
+
+def test_a_stream_from_ports(spark, tmp_path):
+    """Two producers, one of which sends in pieces; every message comes once."""
+    listening = [socket.create_server(("127.0.0.1", 0)) for _ in range(2)]
+
+    def produce(k):
+        connection, _ = listening[k].accept()
+        with connection:
+            for i in range(40):
+                connection.sendall(f"{k}:{i}\n".encode() if k else f"{k}:".encode())
+                if not k:
+                    connection.sendall(f"{i}\n".encode())
+
+    threads = [threading.Thread(target=produce, args=(k,), daemon=True) for k in range(2)]
+    for t in threads:
+        t.start()
+    messages = ports.read_ports(spark, [s.getsockname()[1] for s in listening], workers=3, wait=0.5, queue=30)
+    job = messages.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).start(str(tmp_path / "out"))
+    try:
+        for _ in range(60):
+            job.processAllAvailable()
+            got = sorted(r.message for r in spark.read.schema("message string").parquet(str(tmp_path / "out")).collect())
+            if len(got) >= 80:
+                break
+    finally:
+        job.stop()
+        for s in listening:
+            s.close()
+    assert got == sorted(f"{k}:{i}" for k in range(2) for i in range(40))
+
+
+def test_training_batches(spark, tmp_path):
+    make_videos(tmp_path / "in")
+    paths = listing.videos(listing.list_files(spark, str(tmp_path / "in")))
+    windows = stream.produce_windows(paths, listing.numpy_video, 2, 1, 30)
+    batches = list(training.WindowIterable(windows, 3, buffer=4, seed=1))
+    assert [x.shape for x, _ in batches] == [(3, 2, 3, 6, 8), (3, 2, 3, 6, 8), (1, 2, 3, 6, 8)]
+    seen = {(m["vid_name"], m["idx_in_vid"]): x for xs, ms in batches for x, m in zip(xs, ms)}
+    assert len(seen) == 3 + 2 + 2
+    frame = np.load(tmp_path / "in/a.mp4")[3]
+    assert seen["a.mp4", 1].dtype == np.float32 and np.allclose(seen["a.mp4", 1][1], frame.transpose(2, 0, 1) / 255 * 2 - 1, atol=1e-6)
+    assert len(list(training.WindowIterable(windows, 3, drop_last=True))) == 2
+    order = [[m["idx_in_vid"] for m in ms] for _, ms in training.WindowIterable(windows, 3, buffer=4, seed=1)]
+    assert order == [[m["idx_in_vid"] for m in ms] for _, ms in batches]
