@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import time
 from collections.abc import Callable, Iterator
 
@@ -113,7 +114,7 @@ def tensors_from_videos(
     pixels = kernels.resized_pixels(F.col("pixels"), F.col("height"), F.col("width"), F.col("channels"), size, mode, crop)
     index = F.floor(F.col("frame_idx") / stride)
     rows = frames.where("error is null").select(
-        "vid_path", F.floor(index / chunk_size).cast("long").alias("split_ind"), (index % chunk_size).cast("long").alias("idx_in_split"),
+        "vid_path", index.cast("long").alias("frame_idx"), F.floor(index / chunk_size).cast("long").alias("split_ind"), (index % chunk_size).cast("long").alias("idx_in_split"),
         F.lit(size[0]).alias("height"), F.lit(size[1]).alias("width"), "channels", pixels.alias("pixels"))
     rows.write.mode("overwrite" if force else "append").parquet(out)
     return spark.read.parquet(out)
@@ -161,6 +162,51 @@ def depth_latents(rgb: DataFrame, depth: DataFrame, encoder: Callable[[], models
     return both.select("vid_path", "frame_idx", encode(x).alias("latent"))
 
 
+def _frames(spark: SparkSession, tensors: str) -> tuple[DataFrame, tuple[int, int, int]]:
+    """The frames of a table that `tensors_from_videos` wrote, flat and CHW in `x`, and their shape."""
+    rows = spark.read.parquet(tensors)
+    first = rows.select("height", "width", "channels").first()
+    if first is None:
+        raise ValueError(f"no frames in {tensors}")
+    h, w, c = first
+    rows = rows.withColumn("bytes", kernels.bytes_to_array(F.col("pixels")))
+    return rows.select("vid_path", "frame_idx", tensor.hwc_to_chw(F.col("bytes"), h, w, c).alias("x")), (c, h, w)
+
+
+def _unfinished(spark: SparkSession, frames: DataFrame, out: str, force: bool) -> DataFrame:
+    """Frames of videos that `out` doesn't have; it is appended to by whole videos only."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(out)
+    if force or not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return frames
+    return pairing.todo(frames, spark.read.parquet(out).select("vid_path").distinct(), ["vid_path"])
+
+
+def depth_from_tensors(
+    spark: SparkSession, tensors: str, out: str, model: Callable[[], models.Model], inside: tuple[int, int] = (518, 518), batch_size: int = 500, force: bool = False,
+) -> DataFrame:
+    """The depth of every frame of a table of tensors, as Parquet by (vid_path, frame_idx); finished videos are skipped."""
+    frames, shape = _frames(spark, tensors)
+    depth = depth_tensors(_unfinished(spark, frames, out, force), models.depth_chain(model, inside), shape, batch_size)
+    depth.select("vid_path", "frame_idx", "depth").write.mode("overwrite" if force else "append").parquet(out)
+    return spark.read.parquet(out)
+
+
+def depthlatents_from_tensors(
+    spark: SparkSession, tensors: str, depths: str, out: str, encoder: Callable[[], models.Model], values: int, batch_size: int = 128, force: bool = False,
+) -> DataFrame:
+    """Latents of the frames that have depth, as Parquet by (vid_path, frame_idx); finished videos are skipped."""
+    frames, (c, h, w) = _frames(spark, tensors)
+    found = depth_latents(_unfinished(spark, frames, out, force), spark.read.parquet(depths), encoder, (c + 1, h, w), values, batch_size)
+    found.write.mode("overwrite" if force else "append").parquet(out)
+    return spark.read.parquet(out)
+
+
+def named(name: str) -> Callable:
+    """What ``package.module:name`` names, such as the loader of a model."""
+    module, _, item = name.partition(":")
+    return getattr(importlib.import_module(module), item)
+
+
 def stream_windows(
     spark: SparkSession, root: str, out: str, state: str, decode: Callable = listing.numpy_video, n_frames: int = 16, stride: int = 1, fps: int = 30,
     resize_to: tuple[int, int] | None = (256, 256), suffix: str = ".mp4", queue: int = 64,
@@ -254,6 +300,34 @@ def main(args: list[str] | None = None) -> None:
     job.add_argument("--resize-to", type=int, nargs="+", default=(256,))
     job.add_argument("--suffix", default=".mp4")
     job.add_argument("--queue", type=int, default=64)
+    job = jobs.add_parser("depth-images")
+    job.add_argument("root")
+    job.add_argument("--decode", type=named, default=listing.numpy_video)
+    job.add_argument("--model", type=named, required=True)
+    job.add_argument("--overwrite", action="store_true")
+    job = jobs.add_parser("depth-from-tensors")
+    job.add_argument("root")
+    job.add_argument("out")
+    job.add_argument("--model", type=named, required=True)
+    job.add_argument("--inside", type=int, nargs=2, default=(518, 518))
+    job.add_argument("--batch-size", type=int, default=500)
+    job.add_argument("--force", action="store_true")
+    job = jobs.add_parser("depthlatents-from-tensors")
+    job.add_argument("root")
+    job.add_argument("depths")
+    job.add_argument("out")
+    job.add_argument("--encoder", type=named, required=True)
+    job.add_argument("--values", type=int, required=True)
+    job.add_argument("--batch-size", type=int, default=128)
+    job.add_argument("--force", action="store_true")
+    job = jobs.add_parser("video-latents")
+    job.add_argument("root")
+    job.add_argument("out")
+    job.add_argument("state")
+    job.add_argument("--encoder", type=named, required=True)
+    job.add_argument("--shape", type=int, nargs=3, default=(3, 256, 256))
+    job.add_argument("--values", type=int, required=True)
+    job.add_argument("--size", type=int, default=32)
     job = jobs.add_parser("dashcam-chunks")
     job.add_argument("root")
     job.add_argument("out")
@@ -283,6 +357,17 @@ def main(args: list[str] | None = None) -> None:
         given["resize_to"] = tuple(given["resize_to"]) * (3 - len(given["resize_to"]))
         for progress in stream_windows(spark, root, **given):
             print(progress)
+    elif name == "video-latents":
+        given["shape"] = tuple(given["shape"])
+        for progress in video_latents(spark, root, **given):
+            print(progress)
+    elif name == "depth-images":
+        depth_images(spark, root, **given).groupBy("error").count().show(truncate=False)
+    elif name == "depth-from-tensors":
+        given["inside"] = tuple(given["inside"])
+        print(depth_from_tensors(spark, root, **given).count())
+    elif name == "depthlatents-from-tensors":
+        print(depthlatents_from_tensors(spark, root, **given).count())
     else:
         given["size"] = tuple(given["size"])
         print((dashcam_chunks if name == "dashcam-chunks" else tensors_from_videos)(spark, root, **given).count())

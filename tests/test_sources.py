@@ -284,3 +284,18 @@ def test_training_batches(spark, tmp_path):
     assert len(list(training.WindowIterable(windows, 3, drop_last=True))) == 2
     order = [[m["idx_in_vid"] for m in ms] for _, ms in training.WindowIterable(windows, 3, buffer=4, seed=1)]
     assert order == [[m["idx_in_vid"] for m in ms] for _, ms in batches]
+
+
+def test_depth_and_latents_of_tensors(spark, tmp_path):
+    """From videos to tensors, depth and latents, by the command line's jobs; a second run finds nothing to do."""
+    make_videos(tmp_path / "in")
+    tensors, depths, latents = (str(tmp_path / x) for x in ("tensors", "depths", "latents"))
+    jobs.tensors_from_videos(spark, str(tmp_path / "in"), tensors, chunk_size=4, size=(4, 6))
+    model = jobs.named("framewright.functions.models:mean_depth")()
+    depth = jobs.depth_from_tensors(spark, tensors, depths, model, (7, 9), 5).collect()
+    assert len(depth) == 16 and all(len(r.depth) == 24 and 0 <= min(r.depth) and max(r.depth) <= 255 for r in depth)
+    found = jobs.depthlatents_from_tensors(spark, tensors, depths, latents, models.block_means(2), 4, 5)
+    assert {(r.vid_path, r.frame_idx) for r in found.collect()} == {(r.vid_path, r.frame_idx) for r in depth}
+    assert all(len(r.latent) == 4 and abs(max(r.latent)) <= 1 for r in found.collect())
+    assert jobs.depth_from_tensors(spark, tensors, depths, model, (7, 9), 5).count() == 16
+    assert jobs.depthlatents_from_tensors(spark, tensors, depths, latents, models.block_means(2), 4, 5).count() == 16
