@@ -41,14 +41,17 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, h
     """Join `rows` with `keyed`, which has a key once and in `weight` how many of the rows have it.
 
     Rows of a hot key are dealt to SALTS tasks by a hash of what else they hold, and the key's one row is
-    sent to each of these. At most HOT_SHARE keys can be hot, so their list is a broadcast of proven size.
-    `hot_on` names the columns to know a hot key by, if the key is long. `keyed` should be written already;
-    with `how` "left", rows without a partner stay. `weight` is not in the result.
+    sent to each of these. At most HOT_SHARE keys can be hot, so their list is a broadcast of proven size; a
+    count of the largest key says whether there are any. `hot_on` names the columns to know a hot key by, if
+    the key is long. `keyed` should be written already; with `how` "left", rows without a partner stay.
+    `weight` is not in the result.
     """
     hot_on = hot_on or on
-    total = keyed.agg(F.sum(weight).alias("__fw_total"))  # one row
-    hot = keyed.join(F.broadcast(total)).where((F.col(weight) > HOT_ROWS) & (F.col(weight) * HOT_SHARE > F.col("__fw_total")))
-    hot = F.broadcast(hot.select(*hot_on, F.lit(True).alias("__fw_hot")).distinct())
+    total, most = keyed.agg(F.sum(weight), F.max(weight)).first()
+    bound = max(HOT_ROWS, (total or 0) // HOT_SHARE)
+    if (most or 0) <= bound:
+        return rows.join(keyed.drop(weight), on, how)
+    hot = F.broadcast(keyed.where(F.col(weight) > bound).select(*hot_on, F.lit(True).alias("__fw_hot")).distinct())
     rest = [c for c in rows.columns if c not in on]
     salt = F.when(F.col("__fw_hot"), F.pmod(F.xxhash64(*rest), F.lit(SALTS))).otherwise(0)
     left = rows.join(hot, hot_on, "left").withColumn("__fw_salt", salt).drop("__fw_hot")
@@ -77,7 +80,9 @@ class KeyFilter:
         slot = self._slot(F.col("key"))
         maps = keys.groupBy(F.bitmap_bucket_number(slot).alias("__fw_bucket")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("__fw_map"))
-        return materialise(maps, "bitmap")
+        word = "cast(conv(hex(substring(__fw_map, 4 * i + 1, 4)), 16, 10) as bigint)"  # as whole numbers, to be tested fast
+        signed = f"transform(sequence(0, 1023), i -> cast({word} - if({word} >= 2147483648, 4294967296, 0) as int))"
+        return materialise(maps.select("__fw_bucket", F.expr(signed).alias("__fw_map")), "bitmap")
 
     def _slot(self, key: Column) -> Column:
         return F.pmod(key, F.lit(self.bits)) + 1
@@ -89,7 +94,8 @@ class KeyFilter:
         """`df` with a boolean column: may `key` be among the keys? Null keys are not."""
         slot = self._slot(key)
         probe = df.withColumn("__fw_bucket", F.bitmap_bucket_number(slot)).withColumn("__fw_bit", F.bitmap_bit_position(slot))
-        bit = F.expr("getbit(cast(conv(hex(substring(__fw_map, cast(__fw_bit div 8 as int) + 1, 1)), 16, 10) as bigint), cast(__fw_bit % 8 as int))")
+        # four bytes a word, the first byte highest
+        bit = F.expr("getbit(get(__fw_map, cast(__fw_bit div 32 as int)), cast(24 - (__fw_bit % 32) div 8 * 8 + __fw_bit % 8 as int))")
         return (
             probe.join(F.broadcast(self.maps if maps is None else maps), "__fw_bucket", "left")
             .withColumn(name, F.coalesce(bit > 0, F.lit(False)))
@@ -118,8 +124,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before it deleted.
     """
 
-    def minima(pairs: DataFrame) -> DataFrame:
-        return pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    def with_minimum(rows: DataFrame, count: int) -> DataFrame:
+        """(u, v, m): with the least v of each u."""
+        least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        if count <= HOT_ROWS:
+            return rows.join(least.drop("n"), "u")
+        return spread_join(rows, materialise(least, "minima"), ["u"], "n")
 
     def stamp(pairs: DataFrame) -> tuple:
         return tuple(pairs.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first())
@@ -132,11 +142,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     pairs = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
     seen = stamp(pairs)
     while seen[0]:
-        both = pairs.union(pairs.select("v", "u"))
-        least = minima(both).withColumn("m", F.least("u", "m"))
-        large = spread_join(both, least, ["u"], "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = step(large, pairs, "large-star")
-        joined = spread_join(pairs, minima(pairs), ["u"], "n")
+        both = with_minimum(pairs.union(pairs.select("v", "u")), 2 * seen[0]).where("v > u")
+        pairs = step(both.select(F.col("v").alias("u"), F.least("u", "m").alias("v")), pairs, "large-star")
+        joined = with_minimum(pairs, seen[0])
         both_ends = F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
         pairs = step(joined.select(F.explode(both_ends).alias("e")).select("e.*"), pairs, "small-star")
         now = stamp(pairs)

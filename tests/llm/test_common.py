@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from framewright.llm.common import KeyFilter, connected_components, materialise, shared_dir, small
+from framewright.llm import common
+from framewright.llm.common import KeyFilter, connected_components, discard, materialise, shared_dir, small, spread_join
 
 
 def roots(pairs):
@@ -47,3 +48,55 @@ def test_small_is_checked(spark):
     hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
     assert hinted(small(df, 50)) and not hinted(small(df, 49))
     assert shared_dir(spark).startswith("file:")
+
+
+def test_a_filter_has_bits_for_its_keys(spark):
+    """Also beyond the bound: then the keys are taken in parts, and few strangers pass at any number of keys."""
+    keys = spark.range(30_000).select(F.xxhash64("id").alias("key"))
+    probe = spark.range(0, 3_000_000, 50)  # a fiftieth of it is there: 600 of 60,000
+    for most, parts in ((29, 1), (16, 8)):
+        made = KeyFilter(keys, "key", most_log_bits=most)
+        assert made.parts == parts and made.bits == 1 << min(most, 19)
+        got = [r.id for r in made.matching(probe, F.xxhash64("id")).collect()]
+        assert len(got) == len(set(got)) and {i for i in got if i < 30_000} == set(range(0, 30_000, 50))
+        assert len(got) < 600 + 60_000 / 8
+    plan = made.matching(probe, F.xxhash64("id"))._jdf.queryExecution().toString()
+    assert "Exchange hashpartitioning" not in plan  # rows stay where they are, in any number of passes
+
+
+def test_hot_keys_are_dealt_to_many_tasks(spark, monkeypatch):
+    """The join is that of any engine, and the rows of a hot key don't meet; null keys find no partner."""
+    rows = spark.range(6000).selectExpr("if(id < 4000, 7L, if(id % 50 = 0, null, id % 40)) k", "id")
+    keyed = materialise(rows.where("k is not null and k <> 11").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top")), "keyed")
+    want = {how: sorted(map(str, rows.join(keyed.drop("n"), "k", how).select("k", "id", "top").collect())) for how in ("inner", "left")}
+    for bound in (10**9, 1000):
+        monkeypatch.setattr(common, "HOT_ROWS", bound)
+        for how, expected in want.items():
+            got = spread_join(rows, keyed, ["k"], "n", how)
+            assert sorted(got.columns) == ["id", "k", "top"] and sorted(map(str, got.select("k", "id", "top").collect())) == expected
+    changed = {"spark.sql.autoBroadcastJoinThreshold": -1, "spark.sql.shuffle.partitions": 50, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        dealt = spread_join(rows, keyed, ["k"], "n").withColumn("task", F.spark_partition_id()).where("k = 7").groupBy("task").count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(dealt) > 20 and max(r["count"] for r in dealt) < 1000
+
+
+def test_steps_are_deleted_when_told(spark):
+    df = materialise(spark.range(5), "step")
+    assert df.count() == 5
+    discard(df)
+    discard(df.select("id"))  # not written by itself: nothing to do
+    fs = spark._jvm.org.apache.hadoop.fs.Path(df._framewright_path)
+    assert not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
+
+
+def test_components_with_a_hub(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 50)
+    pairs = [(0, i) for i in range(1, 300)] + [(i, i + 1) for i in range(1000, 1040)]
+    got = connected_components(spark.createDataFrame(pairs, "a long, b long"))
+    assert {r["node"]: r["root"] for r in got.collect()} == roots(pairs)

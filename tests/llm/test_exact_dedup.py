@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+from framewright.llm import common
 from framewright.llm.exact_dedup import exact_dedup
 
 from .util import ALL_IDS, ROWS, documents, ids
@@ -26,3 +27,12 @@ def test_without_digests_and_empty(spark):
     assert got.columns == ["doc_id", "keep_id", "group_size", "kept"]
     assert ids(r.doc_id for r in got.collect()) == ALL_IDS
     assert exact_dedup(documents(spark).limit(0), digest=True).count() == 0
+
+
+def test_a_hot_group(spark, monkeypatch):
+    """A third of all rows with one text, more than a task should get, among unique ones that meet no join."""
+    monkeypatch.setattr(common, "HOT_ROWS", 100)
+    rows = [(i, "Copied text" if i % 3 == 0 else f"unique {i}", None) for i in range(3000)]
+    got = {r.doc_id: r for r in exact_dedup(documents(spark, rows)).collect()}
+    assert len(got) == 3000
+    assert all((r.keep_id, r.group_size, r.kept) == ((2997, 1000, i == 2997) if i % 3 == 0 else (i, 1, True)) for i, r in got.items())
