@@ -1,7 +1,9 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
+from framewright import storage
 from framewright.llm import common
 from framewright.llm.common import KeyFilter, connected_components, discard, materialise, shared_dir, small, spread_join
 
@@ -100,3 +102,17 @@ def test_components_with_a_hub(spark, monkeypatch):
     pairs = [(0, i) for i in range(1, 300)] + [(i, i + 1) for i in range(1000, 1040)]
     got = connected_components(spark.createDataFrame(pairs, "a long, b long"))
     assert {r["node"]: r["root"] for r in got.collect()} == roots(pairs)
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    out = materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "k"), "counts")
+    end = time.time() + 20
+    while shuffles() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert out.count() == 7 and spark.conf.get(storage.CLEANUP) == "false"
