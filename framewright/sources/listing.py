@@ -5,9 +5,11 @@ from __future__ import annotations
 import io
 import os
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -16,19 +18,80 @@ from ..functions.codecs import decode_array
 from ..functions.paths import basename, depth_image_path, dirname, has_suffix, is_depth_image, strip_extension, swap_suffix
 from ..operators.pairing import paired, todo, with_sibling
 from ..operators.sharding import two_levels, with_position
-from .archives import read_file
+from ..storage import materialise
+from .archives import open_store, read_file
+
+
+#: What is found in a folder leaves the task that lists it in batches of so many.
+ENTRIES = 10_000
+
+
+def _hidden(name: str) -> bool:
+    """Whether Spark's readers leave a file or folder out."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _entries(folder: str) -> Iterator[tuple[str, int | None]]:
+    """Path and length of what lies in a folder; folders have no length. Links are followed, broken ones left out."""
+    fs, place = open_store(folder)
+    prefix = folder.rstrip("/") + "/"
+    try:
+        if isinstance(fs, pafs.LocalFileSystem):
+            with os.scandir(place) as found:
+                for e in found:
+                    if not _hidden(e.name) and (e.is_dir() or os.path.exists(e.path)):
+                        yield prefix + e.name, None if e.is_dir() else e.stat().st_size
+        else:
+            for info in fs.get_file_info(pafs.FileSelector(place)):
+                if not _hidden(info.base_name):
+                    yield prefix + info.base_name, None if info.type == pafs.FileType.Directory else info.size
+    except FileNotFoundError:  # it went meanwhile
+        return
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            found = _entries(folder)
+            while rows := list(islice(found, ENTRIES)):
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], ["path", "length"])
+
+
+def _walkable(spark: SparkSession, root: str) -> str | None:
+    """The full name of a folder that tasks can list themselves; None for patterns, files and stores that only Spark reads."""
+    if any(c in root for c in "{}[]*?\\"):
+        return None
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    try:
+        fs, name = open_store(full)
+        return full if fs.get_file_info(name).type == pafs.FileType.Directory else None
+    except (OSError, ValueError, NotImplementedError):  # pyarrow does not know the store
+        return None
 
 
 def list_files(spark: SparkSession, *roots: str) -> DataFrame:
-    """path and length of every file below the roots, in any store that Spark reads.
+    """path and length of every file below the roots, in any store that Spark reads; listed now, contents are not read.
 
-    Spark's listing leaves out names and folders that begin with ``_`` or ``.`` and follows links; roots
-    that overlap give their files twice. Contents are not read: only these two columns are asked for.
+    Names and folders that begin with ``_`` or ``.`` are left out, links are followed and roots that overlap
+    give their files twice, as with Spark's readers. These would hold every file on the driver and
+    plan a task for each few, so folders are listed by tasks, level by level, into the shared folder. Roots
+    that are patterns, files or in a store that pyarrow can't open are listed by Spark, on the driver;
+    that leaves out empty files.
     """
-    out = None
+    tops, out = [], None
     for root in roots:
+        if full := _walkable(spark, root):
+            tops.append((full,))
+            continue
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
         out = files if out is None else out.unionByName(files)
+    folders, n = spark.createDataFrame(tops, "path string"), len(tops)
+    while n:
+        parts = min(n, spark.sparkContext.defaultParallelism * 4)
+        level = materialise(folders.repartition(parts, "path").mapInArrow(_listed, "path string, length long"), "listing")
+        files, folders = level.where("length is not null"), level.where("length is null").select("path")
+        out, n = files if out is None else out.unionByName(files), folders.count()
     return out
 
 

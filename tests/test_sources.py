@@ -299,3 +299,17 @@ def test_depth_and_latents_of_tensors(spark, tmp_path):
     assert all(len(r.latent) == 4 and abs(max(r.latent)) <= 1 for r in found.collect())
     assert jobs.depth_from_tensors(spark, tensors, depths, model, (7, 9), 5).count() == 16
     assert jobs.depthlatents_from_tensors(spark, tensors, depths, latents, models.block_means(2), 4, 5).count() == 16
+
+
+def test_tasks_list_folders_and_the_driver_does_not(spark, tmp_path):
+    touch(tmp_path, "v/00000000_rgb.pt", "v/00000001_rgb.pt", "v/00000001_depth.pt", "v/w/x/00000002_rgb.pt", "v/_x=1/3_rgb.pt", "v/_y/4_rgb.pt", "v/5_rgb.pt._COPYING_")
+    touch(tmp_path, "v/6_rgb.pt", content=b"")
+    os.symlink(tmp_path / "v/6_rgb.pt", tmp_path / "v/7_rgb.pt")
+    os.symlink(tmp_path / "none", tmp_path / "v/8_rgb.pt")
+    files = listing.list_files(spark, str(tmp_path))
+    assert "binaryFile" not in files._jdf.queryExecution().toString()
+    assert not any(f.startswith(f"file://{tmp_path}") for f in files.inputFiles())  # the driver holds none of the names
+    assert names(listing.tensors_without(files), tmp_path, "rgb") == ["v/00000000_rgb.pt", "v/6_rgb.pt", "v/7_rgb.pt", "v/_x=1/3_rgb.pt", "v/w/x/00000002_rgb.pt"]
+    one = listing.list_files(spark, f"{tmp_path}/v/0000000[01]_rgb.pt")  # a pattern
+    assert names(one, tmp_path) == ["v/00000000_rgb.pt", "v/00000001_rgb.pt"]
+    assert {r.path for r in one.collect()} <= {r.path for r in files.collect()}
