@@ -119,7 +119,9 @@ def labelled_files(spark: SparkSession, sf_dir: str, name: Column, *siblings: tu
     """A file a document under `name`, and others under (name, condition)."""
     docs = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     names = F.array(name, *(F.when(condition, other) for other, condition in siblings))
-    return tree(docs.select(F.explode(names).alias("name")).where("name is not null").withColumn("content", F.encode("name", "UTF-8")))
+    files = docs.select(F.explode(names).alias("name")).where("name is not null")
+    files = files.repartition(spark.sparkContext.defaultParallelism * 4, "name")  # short rows, of which a task would get too many
+    return tree(files.withColumn("content", F.encode("name", "UTF-8")))
 
 
 def image_name(ending: str) -> Column:
