@@ -7,7 +7,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark import SparkFiles
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
+from pyspark.resource import ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import SparkSession
 from pyspark.sql.types import ArrayType, FloatType
 
@@ -110,11 +110,15 @@ def depth_chain(load: Callable[[], Model], inside: tuple[int, int]) -> Callable[
 
 
 def on_accelerators(spark: SparkSession, amount: int = 1):
-    """A resource profile of so many GPUs a task for ``mapInArrow(profile=...)``; None on a local master, which has none."""
-    if spark.sparkContext.master.startswith("local"):
+    """A resource profile of so many GPUs a task for ``mapInArrow(profile=...)``; None where executors have no such number.
+
+    What executors have is in ``spark.executor.resource.gpu.amount``. Only tasks ask, of the executors as they are: to ask for
+    other executors fails wherever these are not allocated dynamically. A local master has none.
+    """
+    held = int(spark.sparkContext.getConf().get("spark.executor.resource.gpu.amount", "0"))
+    if held < amount or spark.sparkContext.master.startswith("local"):
         return None
-    executors = ExecutorResourceRequests().resource("gpu", amount)
-    return ResourceProfileBuilder().require(executors).require(TaskResourceRequests().resource("gpu", amount)).build
+    return ResourceProfileBuilder().require(TaskResourceRequests().resource("gpu", amount)).build
 
 
 def single(load: Callable[[], Model], shape: tuple[int, int, int], values: int):

@@ -3,6 +3,7 @@ import socket
 import tarfile
 import threading
 import zipfile
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -313,3 +314,17 @@ def test_tasks_list_folders_and_the_driver_does_not(spark, tmp_path):
     one = listing.list_files(spark, f"{tmp_path}/v/0000000[01]_rgb.pt")  # a pattern
     assert names(one, tmp_path) == ["v/00000000_rgb.pt", "v/00000001_rgb.pt"]
     assert {r.path for r in one.collect()} <= {r.path for r in files.collect()}
+
+
+def test_accelerators_are_asked_for_only_where_executors_have_them(monkeypatch):
+    def on(master, **conf):
+        context = SimpleNamespace(master=master, getConf=lambda: {k.replace("_", "."): v for k, v in conf.items()})
+        return models.on_accelerators(SimpleNamespace(sparkContext=context))
+
+    asked = []
+    monkeypatch.setattr(models, "ResourceProfileBuilder", lambda: SimpleNamespace(require=lambda r: (asked.append(r), SimpleNamespace(build="profile"))[1]))
+    assert on("spark://host:7077") is None
+    assert on("yarn", spark_executor_resource_gpu_amount="0") is None
+    assert on("local[4]", spark_executor_resource_gpu_amount="1") is None and not asked
+    assert on("spark://host:7077", spark_executor_resource_gpu_amount="2") == "profile"
+    assert [type(r).__name__ for r in asked] == ["TaskResourceRequests"]
