@@ -1,9 +1,11 @@
 import random
+import sys
 import zlib
 from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -142,3 +144,36 @@ def test_hard_cases(spark, reference):
     out = pack(documents(spark, extra=("before", "ids", "base", "begin")), tokenizer_file())
     check([r[:2] for r in ROWS], out.collect(), reference)
     assert pack(documents(spark).limit(0), tokenizer_file()).count() == 0
+
+
+def test_the_tokenizer_remembers_a_bounded_number_of_pieces(monkeypatch, reference):
+    monkeypatch.setattr(packing, "PIECES_HELD", 500)
+    ours, rng = WordTokenizer(tokenizer_file()), random.Random(6)
+    for _ in range(5):
+        texts = [" ".join("".join(rng.choices("abcdé", k=7)) + rng.choice(["", ",", "'s"]) for _ in range(100)) for _ in range(4)] + ["z" * 300, None]
+        got = [np.frombuffer(x, ours.width).tolist() for x in ours.encode(texts)]
+        assert got == [reference.encode(t or "", add_special_tokens=False).ids for t in texts]
+        pieces = {x for t in texts if t for x in t.split(" ")}
+        for memory in (ours.known, ours.words):
+            assert len(memory.keys) == len(memory.values) <= 500 + len(pieces)
+            assert "z" * 300 not in memory.keys.to_pylist()
+
+
+def test_python_does_not_see_known_pieces_one_by_one():
+    ours, calls = WordTokenizer(tokenizer_file()), []
+    texts = pa.array([f"Word, of text {i % 7}\nand more." for i in range(5000)])
+    first, _ = ours.encode_column(texts)
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        again, ends = ours.encode_column(texts)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 1000 and again.tolist() == first.tolist() and len(ends) == 5001 and ends[-1] == len(again)
+
+
+def test_portions_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "PORTION_BYTES", 10)
+    batch = pa.RecordBatch.from_pydict({"body": ["x" * n if n is not None else None for n in (4, 6, 0, None, 1, 30, 9, 2)]})
+    parts = list(packing._portions([batch, batch.slice(0, 0), batch.slice(5, 2)], 0))
+    assert [p.num_rows for p in parts] == [4, 1, 1, 1, 1, 1, 1]
+    assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch, batch.slice(5, 2)])
