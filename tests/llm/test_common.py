@@ -116,3 +116,20 @@ def test_a_written_step_leaves_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not shuffles() - before
     assert out.count() == 7 and spark.conf.get(storage.CLEANUP) == "false"
+
+
+def test_writes_send_few_rows_at_once_to_python(spark):
+    def lengths(batches):
+        for batch in batches:
+            yield batch.from_pydict({"rows": [batch.num_rows]})
+
+    before = spark.conf.get(storage.BATCH)
+    counts = [r.rows for r in materialise(spark.range(0, 25_000, 1, 2).mapInArrow(lengths, "rows long"), "batches").collect()]
+    assert sum(counts) == 25_000 and max(counts) <= 1_000 and spark.conf.get(storage.BATCH) == before
+    try:
+        for said, most in (("300", 300), ("0", 1_000)):  # 0: no bound
+            spark.conf.set(storage.BATCH, said)
+            counts = [r.rows for r in materialise(spark.range(0, 5_000, 1, 1).mapInArrow(lengths, "rows long"), "batches").collect()]
+            assert sum(counts) == 5_000 and max(counts) == most and spark.conf.get(storage.BATCH) == said
+    finally:
+        spark.conf.set(storage.BATCH, before)
