@@ -3,13 +3,14 @@ import sys
 import zlib
 from collections import defaultdict
 from fractions import Fraction
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from framewright.llm import packing
+from framewright.llm import packing, shingles
 from framewright.llm.packing import Schedule, WordTokenizer, pack
 from framewright.llm.queries import tokenizer_file
 
@@ -177,3 +178,11 @@ def test_portions_are_bounded_by_bytes(monkeypatch):
     parts = list(packing._portions([batch, batch.slice(0, 0), batch.slice(5, 2)], 0))
     assert [p.num_rows for p in parts] == [4, 1, 1, 1, 1, 1, 1]
     assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch, batch.slice(5, 2)])
+
+
+def test_a_worker_gives_free_memory_back_after_a_task(monkeypatch):
+    given = []
+    pool = SimpleNamespace(release_unused=lambda: given.append(True))
+    monkeypatch.setattr(shingles, "pa", SimpleNamespace(default_memory_pool=lambda: pool))
+    batch = pa.RecordBatch.from_pydict({"x": list(range(600))})
+    assert [b.num_rows for b in shingles.slices([batch])] == [250, 250, 100] and given
